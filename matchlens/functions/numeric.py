@@ -11,9 +11,10 @@ def _column(value: Column | str) -> Column:
 
 
 def half_even(value: Column | str, digits: int) -> Column:
-    """Round to ``digits`` decimals, halves to the even neighbour, on the binary double."""
+    """Round to ``digits`` decimals, halves to the even neighbour, on the binary double; never negative
+    zero."""
     scale = float(10 ** digits)
-    return F.rint(_column(value) * F.lit(scale)) / F.lit(scale)
+    return F.rint(_column(value) * F.lit(scale)) / F.lit(scale) + F.lit(0.0)
 
 
 def ratio(part: Column | str, whole: Column | str) -> Column:

@@ -20,8 +20,8 @@ def double(value: float | None) -> str:
 
 
 def rounded(expression: str, digits: int) -> str:
-    """Halves go to the even neighbour, judged on the binary double."""
-    return f"rint(({expression}) * {double(10 ** digits)}) / {double(10 ** digits)}"
+    """Halves go to the even neighbour, judged on the binary double; never negative zero."""
+    return f"rint(({expression}) * {double(10 ** digits)}) / {double(10 ** digits)} + 0D"
 
 
 def quotient(part: str, whole: str) -> str:

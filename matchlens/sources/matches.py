@@ -8,14 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
                "l_shipdate")
 
 # The derivation of every column, as SQL text over one order
 # (o_*, c_name, n_name) and its two lines (h_*, a_*).
 _PLAYED = "o_orderstatus <> 'O'"
 _PRICED = "o_orderkey % 9 < 7"
-_COLUMNS = {
+COLUMN_SQL = {
     "match_id": "o_orderkey",
     "date": "cast(cast(o_orderdate as date) as string)",
     "league": "n_name",
@@ -65,9 +65,9 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     The lookups carry no hint: Spark broadcasts them only below its own size threshold.
     """
     line_rank = F.row_number().over(
-        Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER))
+        Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
     lines = (table(spark, sf_dir, "lineitem")
-             .select("l_orderkey", "l_discount", "l_tax", *_LINE_ORDER)
+             .select("l_orderkey", "l_discount", "l_tax", *LINE_ORDER)
              .withColumn("side", line_rank)
              .filter("side <= 2")
              .join(table(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", "p_size"),
@@ -85,4 +85,4 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(table(spark, sf_dir, "nation").selectExpr(
                   "n_nationkey AS c_nationkey", "n_name"), "c_nationkey"))
     return (orders.join(sides, orders.o_orderkey == sides.l_orderkey, "left")
-            .selectExpr(*[f"{sql} AS `{name}`" for name, sql in _COLUMNS.items()]))
+            .selectExpr(*[f"{sql} AS `{name}`" for name, sql in COLUMN_SQL.items()]))
