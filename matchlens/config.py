@@ -61,6 +61,8 @@ NAIVE_BAYES = "Naive Bayes"
 LOGISTIC_REGRESSION = "Lojistik Regresyon"
 NEAREST_NEIGHBOURS = "K-En Yakın Komşu"
 GRADIENT_BOOSTING = "Gradient Boosting"
+MODEL_NAMES = (DECISION_TREE, RANDOM_FOREST, NAIVE_BAYES, LOGISTIC_REGRESSION,
+               NEAREST_NEIGHBOURS, GRADIENT_BOOSTING)
 
 ALL_FEATURES = "all_features"
 SELECTED_FEATURES = "selected_features"

@@ -199,7 +199,7 @@ def evaluate_models(train: DataFrame, test: DataFrame, features: Sequence[str],
     return train.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
 
 
-def best_result(results: DataFrame, names: Sequence[str],
+def best_result(results: DataFrame, names: Sequence[str] = config.MODEL_NAMES,
                 feature_set: str = config.ALL_FEATURES) -> DataFrame:
     """Highest rounded accuracy among the rows of one feature set; the earlier model wins ties."""
     order = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("algorithm"))

@@ -357,7 +357,7 @@ def best_model(spark, sf_dir):
     """The class report of the winner, fitted again."""
     train, test = _split_matches(spark, sf_dir)
     candidates = models.build_models(config.FEATURE_COLUMNS, settings=SMALL_MODELS)
-    name = models.best_result(_comparison(spark, sf_dir), list(candidates)).first()["algorithm"]
+    name = models.best_result(_comparison(spark, sf_dir)).first()["algorithm"]
     return metrics.classification_report(candidates[name].fit(train).transform(test))
 
 

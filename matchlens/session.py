@@ -13,6 +13,7 @@ def local_session(cores: str = "*", memory: str = "16g", app: str = "matchlens")
     return (SparkSession.builder.master(f"local[{cores}]").appName(app)
             .config("spark.driver.memory", memory)
             .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
             .config("spark.sql.shuffle.partitions", "8")
             .config("spark.sql.session.timeZone", "UTC")
             .getOrCreate())
