@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlens import config
+from matchlens.functions.numeric import half_even
 from matchlens.operators.metrics import overall_scores
 from matchlens.operators.neighbours import (
     column_vector,
@@ -217,8 +218,7 @@ def accuracy_pivot(results: DataFrame,
         F.first("accuracy"))
     wide = (results.groupBy("algorithm", "feature_set").agg(once.alias("accuracy"))
             .groupBy("algorithm").pivot("feature_set", list(feature_sets)).agg(F.first("accuracy")))
-    difference = F.rint((F.col(everything) - F.col(selected)) * 10000.0) / 10000.0
-    return (wide.withColumn("diff", difference)
+    return (wide.withColumn("diff", half_even(F.col(everything) - F.col(selected), 4))
             .orderBy(F.desc_nulls_last(everything), "algorithm"))
 
 

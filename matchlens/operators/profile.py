@@ -51,13 +51,19 @@ def column_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
 
 
 def _distinct_text(column: str, kind: str) -> str:
-    """Text that differs exactly where values differ; negative zero counts as zero."""
+    """Text that differs exactly where values differ; negative zero counts as zero.
+
+    Long texts are exchanged as their SHA-256 digest, so a column of documents moves 64 bytes
+    per distinct value.
+    """
     value = text.name(column)
     if kind in ("double", "float"):
         return f"CAST({value} + CAST(0 AS {kind}) AS STRING)"
     if kind.startswith(("array", "struct", "map")):
-        return f"to_json({value})"
-    return f"CAST({value} AS STRING)"
+        value = f"to_json({value})"
+    elif kind != "string":
+        return f"CAST({value} AS STRING)"
+    return f"CASE WHEN length({value}) > 64 THEN sha2({value}, 256) ELSE {value} END"
 
 
 def missing_report(df: DataFrame) -> DataFrame:

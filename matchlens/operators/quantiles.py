@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from matchlens.functions import text
 
-SORT_ROWS = 2_000_000
+SORT_ROWS = 100_000
 SKETCH_ACCURACY = 10_000
 
 

@@ -286,6 +286,14 @@ _REPORT = _CONFUSION + " " + _union([
         _round(f"sum({m} * support) / sum(support)", 4) for m in ("pr", "rc", "f1"))
     + ", sum(support) FROM rates"])
 
+_RULES = f"""{_F},
+    rule_accuracy AS ({_union(
+        f"SELECT '{feature_set}' AS feature_set, '{s}' AS algorithm, " + _round(
+            f"avg(CASE WHEN {_LABEL} = CASE WHEN {s} > 0 THEN 1 WHEN {s} = 0 THEN {code} "
+            "ELSE 2 END THEN 1e0 ELSE 0e0 END)", 4) + " AS accuracy FROM modelling"
+        for feature_set, code in ((config.ALL_FEATURES, 0), (config.SELECTED_FEATURES, 2))
+        for s in ("shots_diff", "shots_target_diff", "corners_diff"))})"""
+
 _FOLDS = f"""{_F},
     sizes AS (SELECT {_LABEL}, count(*) AS n FROM modelling GROUP BY {_LABEL}),
     starts AS (SELECT *, CAST(sum(n) OVER (ORDER BY {_LABEL}) - n AS BIGINT) AS start FROM sizes),
@@ -406,5 +414,15 @@ def sql() -> dict[str, str]:
         "classification_report": _REPORT,
         "overall_scores": f"""{_CONFUSION} SELECT {_round('sum(hits) / sum(support)', 6)} AS accuracy,
             {_round('avg(f1)', 6)} AS macro_f1 FROM rates""",
+        "rule_accuracy_pivot": f"""{_RULES}
+            SELECT algorithm, s.accuracy AS selected_features, a.accuracy AS all_features,
+                   {_round('a.accuracy - s.accuracy', 4)} AS diff
+            FROM rule_accuracy a JOIN rule_accuracy s USING (algorithm)
+            WHERE a.feature_set = '{config.ALL_FEATURES}'
+              AND s.feature_set = '{config.SELECTED_FEATURES}'""",
+        "best_rule": f"""{_RULES} SELECT feature_set, algorithm, accuracy FROM rule_accuracy
+            WHERE feature_set = '{config.ALL_FEATURES}'
+            ORDER BY accuracy DESC, CASE algorithm WHEN 'shots_diff' THEN 1
+              WHEN 'shots_target_diff' THEN 2 ELSE 3 END LIMIT 1""",
         "csv_round_trip": f"{_M} SELECT * FROM matches",
     }

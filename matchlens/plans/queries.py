@@ -336,12 +336,40 @@ def overall_scores(spark, sf_dir):
 
 # Comparison
 
+def _rule_results(spark, sf_dir):
+    """Accuracy of the rule "the side with more of it wins" on three statistics. The first set
+    calls equal sides a draw, the second never predicts one."""
+    frame = staged_modelling_frame(spark, sf_dir)
+    drawn = {config.ALL_FEATURES: 0, config.SELECTED_FEATURES: 2}
+    rules = [(feature_set, statistic, F.when(F.col(statistic) > 0, 1)
+              .when(F.col(statistic) == 0, code).otherwise(2))
+             for feature_set, code in drawn.items()
+             for statistic in ("shots_diff", "shots_target_diff", "corners_diff")]
+    wide = frame.agg(*[half_even(F.avg((F.col(config.LABEL) == rule).cast("double")), 4)
+                       .alias(f"a{i}") for i, (_, _, rule) in enumerate(rules)])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(feature_set).alias("feature_set"), F.lit(statistic).alias("algorithm"),
+                 F.col(f"a{i}").alias("accuracy"))
+        for i, (feature_set, statistic, _) in enumerate(rules)])))
+
+
+def rule_accuracy_pivot(spark, sf_dir):
+    return models.accuracy_pivot(_rule_results(spark, sf_dir))
+
+
+def best_rule(spark, sf_dir):
+    return models.best_result(_rule_results(spark, sf_dir),
+                              ("shots_diff", "shots_target_diff", "corners_diff"))
+
+
 def _comparison(spark, sf_dir):
     """The results, written once per application: three queries look at them."""
     def build():
         frame = staged_modelling_frame(spark, sf_dir)
         selected, _ = study.select_features(frame, **SMALL_FOREST)
-        return study.compare_models(frame, selected, settings=SMALL_MODELS, folds=FOLDS).results
+        outcome = study.compare_models(frame, selected, settings=SMALL_MODELS, folds=FOLDS)
+        outcome.release()
+        return outcome.results
     return staged(spark, "comparison", sf_dir, build)
 
 
@@ -388,7 +416,7 @@ def registered() -> dict[str, Query]:
         top_k_features, selected_flags, combined_importance, stratified_split,
         stratified_split_counts, stratified_split_embeddings, stratified_folds, hashed_split,
         model_round_trip, confusion_matrix, classification_report, overall_scores,
-        model_comparison, accuracy_pivot, best_model, csv_round_trip, result_table_round_trip,
+        rule_accuracy_pivot, best_rule, model_comparison, accuracy_pivot, best_model, csv_round_trip, result_table_round_trip,
     )
     return {query.__name__: query for query in plain} | {
         "tree_predictions": _match_predictions(config.DECISION_TREE),

@@ -14,6 +14,8 @@ def local_session(cores: str = "*", memory: str = "16g", app: str = "matchlens")
             .config("spark.driver.memory", memory)
             .config("spark.ui.enabled", "false")
             .config("spark.ui.showConsoleProgress", "false")
+            # Wide aggregates: methods beyond this size would never be compiled by the JVM.
+            .config("spark.sql.codegen.hugeMethodLimit", "8000")
             .config("spark.sql.shuffle.partitions", "8")
             .config("spark.sql.session.timeZone", "UTC")
             .getOrCreate())

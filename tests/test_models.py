@@ -13,7 +13,7 @@ from matchlens.sources.staging import staged_matches, staged_modelling_frame
 from matchlens.sources.tables import load_tables
 
 TINY = models.ModelSettings(tree_depth=4, tree_bins=32, forest_trees=10, forest_depth=4,
-                            forest_bins=32, iterations=30, neighbours=15, boosting_rounds=3,
+                            forest_bins=32, iterations=15, neighbours=15, boosting_rounds=2,
                             boosting_depth=3, boosting_bins=32)
 FOREST = {"trees": 10, "depth": 4, "bins": 32}
 
