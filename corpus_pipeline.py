@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlens.llm import exact, packing, pii, quality
+from matchlens.llm import exact, packing, pii, quality, setsketch
 from matchlens.llm.columns import stored, table
 
 ORACLE_SQL = None  # the first stage fits a model, the last one packs with a tokenizer
@@ -25,6 +25,11 @@ def without_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return exact.without_copies(docs)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that five-word shingles link at 0.8 or more, the smallest id stays."""
+    return setsketch.without_near_copies(docs)
+
+
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks personal data; ``n_chars`` follows the text."""
     return pii.redact(docs, length_col="n_chars")
@@ -36,7 +41,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality", good_documents), ("exact_dedup", without_exact_copies),
-          ("pii", without_personal_data), ("packing", packed)]
+          ("near_dedup", without_near_copies), ("pii", without_personal_data), ("packing", packed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

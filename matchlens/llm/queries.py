@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlens.llm import exact, packing, pii, quality, sentencepiece_codec, tokens, topk
+from matchlens.llm import exact, packing, pii, quality, sentencepiece_codec, setsketch, substring, tokens, topk
 from matchlens.llm.columns import table
 
 
@@ -21,6 +21,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), keep_ids=False)
 
 
+def op4_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_groups(table(spark, sf_dir, "documents"), shingle=3,
+                                 percent=85).drop("text_key")
+
+
 def op5_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents")).drop("text_key")
 
@@ -29,6 +34,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(table(spark, sf_dir, "documents"))
+
+
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -37,14 +46,62 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_packing, op5_exact,
-                                   op6_pii, op9_tokens, op10_topk)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_packing, op4_near, op5_exact,
+                                   op6_pii, op7_substring, op9_tokens, op10_topk)}
 
 SQL = {
+    "op4_near": """
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                   ELSE list_distinct(list_transform(range(1, len(w) - 1),
+                            lambda i: array_to_string(w[i:i + 2], ' '))) END AS s
+            FROM words),
+        items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id,
+               doc_id = component_id AS kept
+        FROM sets JOIN least USING (doc_id)""",
     "op5_exact": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op7_substring": """
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        starts AS (
+            SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words WHERE len(w) >= 13),
+        windows AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS words13 FROM starts),
+        repeated AS (
+            SELECT doc_id, i FROM (
+                SELECT doc_id, i, min(doc_id) OVER (PARTITION BY words13) AS first_id
+                FROM windows) WHERE first_id < doc_id),
+        covered AS (
+            SELECT DISTINCT doc_id, p FROM (
+                SELECT doc_id, unnest(range(i, i + 13)) AS p FROM repeated)),
+        gone AS (
+            SELECT doc_id, list(p) AS places, count(*) AS n FROM covered GROUP BY doc_id)
+        SELECT w.doc_id, len(w.w) AS n_words, coalesce(g.n, 0) AS n_removed,
+               sha256(CASE WHEN g.n IS NULL THEN array_to_string(w.w, ' ')
+                      ELSE array_to_string(list_filter(w.w,
+                               lambda x, i: NOT list_contains(g.places, i)), ' ') END)
+                   AS kept_sha256
+        FROM words w LEFT JOIN gone g USING (doc_id)""",
     "op10_topk": """
         WITH whole AS (
             SELECT vec_id, list_transform(embedding,
