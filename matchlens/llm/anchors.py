@@ -1,7 +1,7 @@
 """Finding repeated windows of a corpus with one small row per stretch of windows.
 
-All windows of a document whose least inner hash (their *anchor*) is the same and that follow one
-another form a stretch. Equal windows have equal anchors, wherever they lie, so only stretches of
+Windows of a document that follow one another and share the place of their least inner hash (their
+*anchor*) form a stretch. Equal windows have equal anchors, wherever they lie, so only stretches of
 one anchor have to meet. One exchange by anchor brings them together, sorted by content:
 
 * a stretch whose content lies in an earlier document is repeated as a whole;
@@ -28,12 +28,11 @@ from matchlens.llm.hashing import mix, prefix_sums, sliding_min, span_hash
 
 ROWS = "anchor long, content long, doc_id long, place long, known boolean"
 FOUND = "anchor long, doc_id long, place long, head boolean"
-MAX_RUN = 200  # windows in a stretch; fits the low byte of a place
 COMBINE_ROWS = 1 << 19
 BROADCAST_PLACES = 4_000_000
 
 # A place is start << 32 | tag << 8 | windows: where a stretch starts, a 24-bit tag of the text it
-# lies in (two rows may share an id), and how many windows it has.
+# lies in (two rows may share an id), and how many windows it has, fewer than 256.
 
 
 def tag(text_key):
@@ -62,14 +61,11 @@ def stretches(inner: np.ndarray, values: np.ndarray, valid: np.ndarray,
         return none, none, none.view(np.uint64), none.view(np.uint64)
     low = sliding_min(inner, len(inner) - count + 1)
     valid = valid[:count]
-    before = np.append(False, valid[:-1])
-    new = valid & np.append(True, (low[1:] != low[:-1])) | (valid & ~before)
+    # A stretch ends where the least hash changes or its leftmost copy leaves the window, so two
+    # windows of one stretch are never equal.
+    left = inner[:count - 1] == low[:-1]
+    new = valid & np.append(True, (low[1:] != low[:-1]) | left | ~valid[:-1])
     first = np.flatnonzero(new)
-    run = np.cumsum(new) - 1
-    place = np.flatnonzero(valid)
-    if len(place):  # every start, and a cut after each MAX_RUN windows
-        first = place[(place - first[run[place]]) % MAX_RUN == 0]
-        new[first] = True
     last = np.flatnonzero(valid & ~np.append(valid[1:] & ~new[1:], False))
     sums, down = prefix_sums(values)
     return first, last - first + 1, low[first], span_hash(sums, down, first, last + window)
@@ -93,8 +89,8 @@ def combine(parts: Iterable[tuple[np.ndarray, ...]], later_in_doc: bool) -> Iter
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(key))))
         known = doc > doc[starts][group]
-        if later_in_doc:
-            known = np.arange(len(key)) > starts[group]
+        if later_in_doc:  # the same place again comes from a row that repeats id and text
+            known |= (doc == doc[starts][group]) & (place != place[starts][group])
         anchor = np.where(known, mix(place.view(np.uint64) ^ key), anchor)
         return pa.RecordBatch.from_arrays(
             [pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(doc),
@@ -136,9 +132,12 @@ def _own(later_in_doc: bool, heads: bool):
                 first = np.flatnonzero(new_content)
                 head = np.zeros(len(anchor), bool)
                 head[first] = True
+                same = doc == doc[first][path]
                 if not later_in_doc:
-                    head = doc == doc[first][path]
+                    head = same
                 gone = ~head & ~done
+                if later_in_doc:
+                    gone &= ~(same & (place == place[first][path]))
                 out.append((anchor[gone], doc[gone], place[gone], np.zeros(gone.sum(), bool)))
                 branching = np.bincount(owner, new_content) > 1
                 branching |= np.bincount(owner, many) > 0

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlens.llm import exact, packing, pii, quality, sentencepiece_codec, setsketch, substring, tokens, topk
+from matchlens.llm import (exact, packing, pii, quality, sentencepiece_codec, setsketch, substring,
+                           suffix, tokens, topk)
 from matchlens.llm.columns import table
 
 
@@ -38,6 +39,10 @@ def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digests(table(spark, sf_dir, "documents"))
+
+
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -47,7 +52,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_packing, op4_near, op5_exact,
-                                   op6_pii, op7_substring, op9_tokens, op10_topk)}
+                                   op6_pii, op7_substring, op8_suffix, op9_tokens, op10_topk)}
 
 SQL = {
     "op4_near": """
