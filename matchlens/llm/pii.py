@@ -228,11 +228,14 @@ def _listed(spans) -> F.Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _count(kind: str):
+    return F.size(F.filter("base", lambda s: s["kind"] == kind))
+
+
 def digests(docs: DataFrame, **options) -> DataFrame:
     """Counts of base spans per kind, the digest of the base spans, and all spans as text."""
     found = find(docs, **options)
-    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long")
-              .alias(f"n_{kind}") for kind in KINDS]
+    counts = [_count(kind).cast("long").alias(f"n_{kind}") for kind in KINDS]
     return found.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256)
                         .alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 

@@ -44,12 +44,14 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int = 256
 
 def segment_statistics(rows: np.ndarray, segments: int) -> np.ndarray:
     """Columns whose inner product between two vectors bounds the vectors' own from above."""
+    if not rows.shape[1]:
+        return np.zeros((len(rows), 1))
     columns = []
     for part in np.array_split(rows, min(segments, rows.shape[1]), axis=1):
         mean = part.mean(axis=1)
         deviation = np.sqrt(np.maximum(((part - mean[:, None]) ** 2).sum(axis=1), 0))
         columns += [mean * math.sqrt(part.shape[1]), deviation]
-    return np.stack(columns, axis=1) if columns else np.zeros((len(rows), 0))
+    return np.stack(columns, axis=1)
 
 
 class _Best:
