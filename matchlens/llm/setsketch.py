@@ -8,8 +8,9 @@ The registers of a pair give a likelihood for each similarity; pairs whose most
 is far too low go, and the others are confirmed on the full sets.
 
 Equal sets are one class from the start. Within a band's bucket, documents are compared with a
-few leaders first, which joins groups of any size in linear time; only what is then still apart,
-in buckets of several components, is compared pair by pair, so no link is lost.
+leader first, which joins most groups in linear time. Buckets that still hold several components
+are dealt into chunks; every two chunks meet in one task, which returns nothing but links, so none
+is lost and no list of all pairs is made.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ MISS = 1e-6  # greatest chance that the bands miss a pair at the threshold
 MARGIN = 0.2  # over six deviations of the estimate
 BATCH_BYTES = 2 << 20
 BROADCAST_ROWS = 1_000_000
-LEADERS = ("min", "max")
+CHUNK_SHINGLES = 200_000
 
 
 def band_rows(threshold: float, registers: int = REGISTERS) -> int:
@@ -164,9 +165,9 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return fits.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
+def _sets(docs: DataFrame, wanted: DataFrame, nodes: DataFrame, id_col: str, text_col: str,
           size: int) -> DataFrame:
-    """``node, shingles`` of the classes in ``wanted``, read again from one document of each."""
+    """``node, shingles`` of the nodes in ``wanted``, read again from one document of each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_by_bytes(batches, BATCH_BYTES):
             sets = batch_shingles(batch.column("text").cast(pa.binary()).to_pylist(), size)
@@ -176,7 +177,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
                 names=["node", "shingles"])
 
     texts = id_and_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
-    wanted = small_enough(wanted, BROADCAST_ROWS)
+    wanted = small_enough(stored(wanted.join(nodes.select("node", "class_id", "class_key"),
+                                             "node"), "near-wanted"), BROADCAST_ROWS)
     found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["class_id"])
                        & (texts["text_key"] == wanted["class_key"]))
     return found.select("node", "text").mapInArrow(
@@ -201,33 +203,116 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         run, "a long, b long")
 
 
+def _block_links(docs: DataFrame, some: DataFrame, nodes: DataFrame, id_col: str, text_col: str,
+                 size: int, percent: int) -> DataFrame:
+    """Links between different components of the same bucket, ``some`` being its members.
+
+    A bucket is dealt into chunks of bounded size; every two chunks meet in one task, which
+    counts the common shingles of all their pairs at once and returns the links alone, as many as
+    it takes to connect what they connect.
+    """
+    sets = stored(_sets(docs, some.select("node").distinct(), nodes, id_col, text_col, size),
+                  "near-sets")
+    sized = some.join(nodes.select("node", "n_shingles"), "node")
+    chunks = sized.groupBy("bucket").agg(F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES).cast("int")
+                                         .alias("chunks"))
+    dealt = (some.join(chunks, "bucket")
+             .withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+             .select("bucket", F.least("chunk", "other").alias("i"),
+                     F.greatest("chunk", "other").alias("j"), "chunk", "node", "component"))
+
+    def run(table: pa.Table) -> pa.Table:
+        chunk, node, component = (table.column(c).to_numpy() for c in
+                                  ("chunk", "node", "component"))
+        lists = table.column("shingles").combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        apart = component[:, None] != component[None, :]
+        if chunk.min() != chunk.max():
+            apart &= chunk[:, None] != chunk[None, :]
+        apart &= node[:, None] < node[None, :]
+        fits = np.minimum.outer(sizes, sizes) * 100 >= percent * np.maximum.outer(sizes, sizes)
+        a, b = np.nonzero(apart & fits)
+        if len(a):
+            common = common_counts(lists.values.to_numpy()[
+                lists.offsets[0].as_py():lists.offsets[-1].as_py()], sizes)[a, b]
+            linked = 100 * common >= percent * (sizes[a] + sizes[b] - common)
+            joins = merging(a[linked], b[linked], component)
+            a, b = a[linked][joins], b[linked][joins]
+        return pa.table({"a": pa.array(node[a], pa.int64()), "b": pa.array(node[b], pa.int64())})
+
+    met = dealt.join(sets, "node").select("bucket", "i", "j", "chunk", "node", "component",
+                                          "shingles")
+    return met.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
+
+
+def merging(a: np.ndarray, b: np.ndarray, component: np.ndarray) -> list[int]:
+    """Those of the links between rows ``a`` and ``b`` that join components not joined before."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while x in parent:
+            x = parent[x]
+        return x
+
+    out = []
+    for k, (one, two) in enumerate(zip(component[a].tolist(), component[b].tolist())):
+        one, two = root(one), root(two)
+        if one != two:
+            parent[max(one, two)] = min(one, two)
+            out.append(k)
+    return out
+
+
+def common_counts(values: np.ndarray, sizes: np.ndarray, width: int = 4096) -> np.ndarray:
+    """Common elements of every two of several sets, which lie one after the other."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    number = np.cumsum(np.append(True, values[1:] != values[:-1])) - 1
+    shared = np.bincount(number) > 1  # elements of one set only add nothing
+    keep = shared[number]
+    number, owner = (np.cumsum(shared) - 1)[number[keep]], owner[keep]
+    counts = np.zeros((len(sizes), len(sizes)), np.float64)
+    cuts = np.searchsorted(number, np.arange(0, int(shared.sum()) + width, width))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if a < b:
+            block = np.zeros((len(sizes), width), np.float32)
+            block[owner[a:b], number[a:b] % width] = 1
+            counts += block @ block.T
+    return np.rint(counts).astype(np.int64)
+
+
 def components(links: DataFrame) -> DataFrame:
-    """``node, component`` of every node in the stored table ``links`` (``a, b``): the least node
-    it is connected with. Each turn hooks every tree to the least neighbouring root and halves
-    the paths, so the turns grow with the logarithm of the longest chain."""
+    """``node, component`` of every node in ``links`` (``a, b``): the least node it is connected
+    with. Each turn hooks every node to its least neighbour, follows the hooks to their roots and
+    contracts the links to those between different roots, which soon leaves none."""
     edges = stored(links.select("a", "b").unionByName(
         links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links-both")
-    labels = stored(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component"))
-                    .withColumnRenamed("a", "node"), "labels")
+    labels = None
+    while not edges.isEmpty():
+        roots = _roots(stored(edges.groupBy("a").agg(
+            F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"),
+            "hooks"))
+        labels = roots.withColumnRenamed("root", "component") if labels is None else stored(
+            labels.join(roots, labels["component"] == roots["node"], "left").select(
+                labels["node"], F.coalesce("root", "component").alias("component")), "labels")
+        ends = [roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab"]
+        edges = stored(edges.join(ends[0], "a").join(ends[1], "b").where("ra <> rb")
+                       .select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(),
+                       "links-left")
+    return labels
+
+
+def _roots(hooks: DataFrame) -> DataFrame:
+    """``node, root``: where the hooks of each node end, halving the way in each turn."""
     while True:
-        ends = (edges.join(labels.select(F.col("node").alias("a"),
-                                         F.col("component").alias("ca")), "a")
-                .join(labels.select(F.col("node").alias("b"),
-                                    F.col("component").alias("cb")), "b"))
-        offers = (ends.select(F.col("ca").alias("node"), F.col("cb").alias("offer"))
-                  .unionByName(ends.select(F.col("a").alias("node"), F.col("cb").alias("offer")))
-                  .groupBy("node").agg(F.min("offer").alias("offer")))
-        hooked = labels.join(offers, "node", "left").select(
-            "node", F.least("component", F.coalesce("offer", "component")).alias("next"),
-            "component")
-        hooked = stored(hooked, "labels-hooked")
-        jumped = hooked.join(hooked.select(F.col("node").alias("next"),
-                                           F.col("next").alias("beyond")), "next")
-        new = stored(jumped.select("node", F.least("next", "beyond").alias("component"),
-                                   F.col("component").alias("old")), "labels")
-        if new.where("component <> old").isEmpty():
-            return new.select("node", "component")
-        labels = new.select("node", "component")
+        after = hooks.select(F.col("node").alias("root"), F.col("root").alias("beyond"))
+        new = stored(hooks.join(after, "root").select("node", F.col("beyond").alias("root"),
+                                                      F.col("root").alias("old")), "hooks")
+        hooks = new.select("node", "root")
+        if new.where("root <> old").isEmpty():
+            return hooks
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -238,6 +323,16 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
         "component", F.coalesce("component", "node"))
 
 
+def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``bucket, node, component`` of buckets that still hold several components, but for those
+    of two nodes, which have been compared."""
+    some = _labelled(members.where("n > 2").select("bucket", "node"), labels)
+    apart = (some.groupBy("bucket").agg(F.min("component").alias("low"),
+                                        F.max("component").alias("high"))
+             .where("low <> high").select("bucket"))
+    return stored(some.join(apart, "bucket").select("bucket", "node", "component"), "near-open")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 shingle: int = 5, percent: int = 80) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept, text_key``.
@@ -261,55 +356,22 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 "first.n_shingles", "first.registers",
                 F.monotonically_increasing_id().alias("node")), "near-classes")
     bands = _bands(nodes, band_rows(percent / 100))
-    leaders = bands.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("min"),
-                                          F.max("node").alias("max")).where("n > 1")
-    members = stored(bands.join(leaders, "bucket"), "near-buckets")
-    links, labels, tried = None, None, None
-
-    def confirm(pairs: DataFrame) -> None:
-        """Adds the links among ``pairs`` and joins the components anew."""
-        nonlocal links, labels, tried
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(_likely(pairs, nodes, percent), "near-pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        wanted = stored(pairs.select(F.col("a").alias("node")).unionByName(
-            pairs.select(F.col("b").alias("node"))).distinct()
-            .join(nodes.select("node", "class_id", "class_key"), "node"), "near-wanted")
-        if wanted.isEmpty():
-            return
-        sets = stored(_sets(docs, wanted, id_col, text_col, shingle), "near-sets")
-        found = stored(_confirmed(pairs, sets, percent), "near-links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-
-    for leader in LEADERS:
-        some = _labelled(members if labels is None else members.where("n > 2"), labels)
-        apart = (some.join(_labelled(members.select(F.col(leader).alias("node")).distinct(), labels)
-                           .select(F.col("node").alias(leader),
-                                   F.col("component").alias("led")), leader)
-                 .where(F.col("component") != F.col("led")) if labels is not None else
-                 some.where(F.col("node") != F.col(leader)))
-        pairs = apart.select(F.least("node", leader).alias("a"),
-                             F.greatest("node", leader).alias("b")).distinct()
-        confirm(pairs)
-    several = _labelled(members.where("n > 2"), labels)
-    mixed = (several.groupBy("bucket").agg(F.min("component").alias("low"),
-                                           F.max("component").alias("high"))
-             .where("low <> high").select("bucket"))
-    open_members = stored(several.join(mixed, "bucket")
-                          .where((F.col("node") != F.col("min"))
-                                 & (F.col("node") != F.col("max")))
-                          .join(nodes.select("node", "n_shingles"), "node")
-                          .select("bucket", "node", "component", "n_shingles"), "near-open")
-    one = open_members.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"),
-                              F.col("n_shingles").alias("sa"))
-    two = open_members.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"),
-                              F.col("n_shingles").alias("sb"))
-    rest = one.join(two, "bucket").where(
-        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-        & (100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")))
-    confirm(rest.select("a", "b").distinct())
+    buckets = bands.groupBy("bucket").agg(F.count("*").alias("n"),
+                                          F.min("node").alias("leader")).where("n > 1")
+    members = stored(bands.join(buckets, "bucket"), "near-buckets")
+    pairs = stored(_likely(
+        members.where(F.col("node") != F.col("leader"))
+        .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(),
+        nodes, percent), "near-pairs")
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(
+        pairs.select(F.col("b").alias("node"))).distinct()
+    sets = stored(_sets(docs, wanted, nodes, id_col, text_col, shingle), "near-sets")
+    links = stored(_confirmed(pairs, sets, percent), "near-links")
+    labels = None if links.isEmpty() else components(links)
+    found = stored(_block_links(docs, _open(members, labels), nodes, id_col, text_col, shingle,
+                                percent), "near-links")
+    links = links.unionByName(found)
+    labels = None if links.isEmpty() else components(links)
 
     classes = _labelled(nodes.select("set_key", "class_id", "node"), labels)
     least = classes.groupBy("component").agg(F.min("class_id").alias("component_id"))
