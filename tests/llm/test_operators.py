@@ -336,6 +336,8 @@ def test_base_spans():
     assert pii.base_spans("4 4111 1111 1111 1111") == []
     assert pii.base_spans("c_d@e.fg.a@h.i") == [("email", 0, 10)]
     assert pii.base_spans("c@e.fg_a@h.i") == [("email", 0, 6), ("email", 6, 12)]
+    assert pii.base_spans("1.2.3.4.5.6.7.8.9") == [("ip", 0, 7), ("ip", 8, 15)]
+    assert pii.base_spans("7" * 500_000) == []  # in linear time
 
 
 def test_contexts_discover_unseen_identifiers(spark, odd_docs, odd_rows, no_docs):
