@@ -2,9 +2,9 @@
 
 Every text gets a 64-bit key. Only keys that occur more than once can hold equal texts, so only
 their texts move. A directory maps the leading bits of a key to a bucket: it starts as one bucket
-and doubles until no bucket holds more keys than fit, at most 2**16 slots. Before the exchange
-every task merges the copies it has met, so a text that a third of the rows share arrives once
-per task. The owner of a bucket reads its keys in order, chains texts that share a key and
+and doubles until no bucket holds more keys or bytes than fit, at most 2**16 slots. Before the
+exchange every task merges the copies it has met, so a text that a third of the rows share arrives
+once per task. The owner of a bucket reads its keys in order, chains texts that share a key and
 compares their bytes. Its entries, without texts, are the index files in the shared folder.
 """
 
@@ -23,13 +23,14 @@ from matchlens.session import new_shared_path
 
 MAX_DEPTH = 16
 BUCKET_KEYS = 20_000
+BUCKET_BYTES = 8 << 20  # of distinct texts
 COMBINE_BYTES = 32 << 20
 BROADCAST_KEYS = 1_000_000
 ENTRY = "bucket int, key long, text binary, n long, max_id long"
 
 
 def grow_directory(counts: np.ndarray, capacity: int) -> np.ndarray:
-    """Bucket of each slot of the finest directory, given the keys per slot (2**MAX_DEPTH of them).
+    """Bucket of each slot of the finest directory, given the load per slot (2**MAX_DEPTH of them).
 
     The directory doubles whenever the bucket to split is as deep as the directory itself; a
     bucket at the greatest depth stays overfull. Buckets are numbered in key order.
@@ -138,7 +139,7 @@ def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+                 bucket_keys: int = BUCKET_KEYS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256, text_key``.
 
     Texts are equal when their bytes are; a null text counts as empty, so null and empty texts
@@ -148,15 +149,21 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     texts = id_and_text(docs, id_col, text_col).withColumn("key", F.xxhash64("text"))
-    entries = stored(texts.select("doc_id", "key", F.sha2("text", 256).alias("text_sha256")),
-                     "exact-entries")
-    repeated = stored(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-                      .select("key"), "exact-keys")
-    counts = np.zeros(1 << MAX_DEPTH, np.int64)
-    for row in repeated.groupBy(_slot(F.col("key")).alias("slot")).count().toLocalIterator():
-        counts[row["slot"]] = row["count"]
-    directory = grow_directory(counts, bucket_keys)
-    found = texts.join(small_enough(repeated, BROADCAST_KEYS), "key", "left_semi")
+    sized = stored(texts.select("doc_id", "key", F.sha2("text", 256).alias("text_sha256"),
+                                F.octet_length("text").cast("long").alias("n_bytes")),
+                   "exact-entries")
+    entries = sized.drop("n_bytes")
+    repeated = stored(sized.groupBy("key").agg(F.count("*").alias("n"),
+                                               F.max("n_bytes").alias("n_bytes"))
+                      .where("n > 1").select("key", "n_bytes"), "exact-keys")
+    # A key loads its bucket by its bytes, but by no less than its share of ``bucket_keys``.
+    load = F.greatest(F.col("n_bytes"), F.lit(bucket_bytes // bucket_keys).cast("long"))
+    loads = np.zeros(1 << MAX_DEPTH, np.int64)
+    for row in (repeated.groupBy(_slot(F.col("key")).alias("slot")).agg(F.sum(load).alias("load"))
+                .toLocalIterator()):
+        loads[row["slot"]] = row["load"]
+    directory = grow_directory(loads, bucket_bytes)
+    found = texts.join(small_enough(repeated.select("key"), BROADCAST_KEYS), "key", "left_semi")
     owned = (found.select("doc_id", "text", "key").mapInArrow(_combine(directory), ENTRY)
              .repartition(int(directory[-1]) + 1, "bucket")
              .sortWithinPartitions("bucket", "key")

@@ -176,6 +176,8 @@ def test_exact_groups(odd_docs, odd_rows, no_docs):
         expected.append((i, keep, len(groups[t or ""]), i == keep,
                          hashlib.sha256((t or "").encode()).hexdigest()))
     assert rows_of(found) == sorted(expected, key=repr)
+    by_bytes = exact.exact_groups(odd_docs, bucket_bytes=64).drop("text_key")
+    assert rows_of(by_bytes) == rows_of(found)
     assert exact.exact_groups(no_docs).count() == 0
     kept = exact.without_copies(odd_docs)
     assert kept.columns == odd_docs.columns
