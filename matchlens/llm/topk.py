@@ -28,6 +28,7 @@ LEVELS = (4, 16)
 BLOCK = 2048
 QUERY_BLOCK = 512
 QUERIES_PER_PASS = 16_384
+NUMBERS_PER_PASS = 4_000_000  # components of all queries of a pass
 DENSE_SHARE = 0.05
 RESULT = "query_id long, vec_id long, score long"
 
@@ -107,15 +108,19 @@ class _Best:
                 self.bar[one] = self.found[one][-1, 0]
 
 
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The numbers of all lists, and where each list starts and how long it is."""
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(lengths)])[:-1].astype(np.int64)
+    return lists.flatten().to_numpy(zero_copy_only=False), starts, lengths
+
+
 def _search(queries: list[tuple[np.ndarray, np.ndarray]], k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = [_Best(ids[a:a + QUERY_BLOCK], rows[a:a + QUERY_BLOCK], k)
                   for ids, rows in queries for a in range(0, len(ids), QUERY_BLOCK)]
         for batch in batches:
-            lists = batch.column("v")
-            lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
+            flat, starts, lengths = _flat(batch.column("v"))
             all_ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
             for size in np.unique(lengths):
                 mine = [b for b in blocks if b.rows.shape[1] == size]
@@ -142,12 +147,11 @@ def _search(queries: list[tuple[np.ndarray, np.ndarray]], k: int):
 
 def _sent(queries: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
     """The queries of one pass, by length of vector."""
-    by_size: dict[int, list] = {}
-    for row in queries.collect():
-        by_size.setdefault(len(row["v"]), []).append(row)
-    return [(np.array([r["vec_id"] for r in rows], np.int64),
-             np.array([r["v"] for r in rows], np.int64).reshape(len(rows), size))
-            for size, rows in sorted(by_size.items())]
+    table = queries.toArrow()
+    ids = table.column("vec_id").to_numpy()
+    flat, starts, lengths = _flat(table.column("v").combine_chunks())
+    return [(ids[lengths == size], flat[starts[lengths == size][:, None] + np.arange(size)])
+            for size in np.unique(lengths)]
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id",
@@ -162,8 +166,10 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id",
     """
     spark = vectors.sparkSession
     candidates = quantised(vectors, id_col, vector_col)
-    queries = candidates.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
-    passes = max(1, math.ceil(candidates.where(is_query).count() / per_pass))
+    queries = stored(candidates.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")),
+                     "topk-queries")
+    tally = queries.agg(F.count("*"), F.coalesce(F.sum(F.size("v")), F.lit(0))).first()
+    passes = max(1, math.ceil(tally[0] / per_pass), math.ceil(tally[1] / NUMBERS_PER_PASS))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     results = []
     for number in range(passes):
