@@ -36,6 +36,7 @@ MARGIN = 0.2  # over six deviations of the estimate
 BATCH_BYTES = 2 << 20
 BROADCAST_ROWS = 1_000_000
 CHUNK_SHINGLES = 200_000
+CHUNK_NODES = 1_500  # two chunks make a square of pairs in memory
 
 
 def band_rows(threshold: float, registers: int = REGISTERS) -> int:
@@ -214,8 +215,9 @@ def _block_links(docs: DataFrame, some: DataFrame, nodes: DataFrame, id_col: str
     sets = stored(_sets(docs, some.select("node").distinct(), nodes, id_col, text_col, size),
                   "near-sets")
     sized = some.join(nodes.select("node", "n_shingles"), "node")
-    chunks = sized.groupBy("bucket").agg(F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES).cast("int")
-                                         .alias("chunks"))
+    chunks = sized.groupBy("bucket").agg(F.greatest(
+        F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES),
+        F.ceil(F.count("*") / CHUNK_NODES)).cast("int").alias("chunks"))
     dealt = (some.join(chunks, "bucket")
              .withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -231,8 +233,8 @@ def _block_links(docs: DataFrame, some: DataFrame, nodes: DataFrame, id_col: str
         if chunk.min() != chunk.max():
             apart &= chunk[:, None] != chunk[None, :]
         apart &= node[:, None] < node[None, :]
-        fits = np.minimum.outer(sizes, sizes) * 100 >= percent * np.maximum.outer(sizes, sizes)
-        a, b = np.nonzero(apart & fits)
+        least = 100 * sizes[:, None] >= percent * sizes[None, :]
+        a, b = np.nonzero(apart & least & least.T)
         if len(a):
             common = common_counts(lists.values.to_numpy()[
                 lists.offsets[0].as_py():lists.offsets[-1].as_py()], sizes)[a, b]

@@ -234,6 +234,36 @@ def test_near_groups(spark, odd_docs, odd_rows, no_docs, size, percent):
     assert rows_of(found) == near_by_force(rows, size, percent)
 
 
+def test_open_buckets_are_compared_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(setsketch, "CHUNK_NODES", 4)
+    base, rows = prose(51, 60).split(" "), []
+    for k in range(24):  # one template: each row is linked with the next in its pair only
+        own = base[:50] + [f"v{k // 2}x{j}" for j in range(8)] + [f"end{k % 2}"]
+        rows.append((k, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = setsketch.near_groups(docs, shingle=3, percent=85).drop("text_key")
+    assert rows_of(found) == near_by_force(rows, 3, 85)
+    assert len({r[2] for r in rows_of(found)}) == 12
+
+
+@pytest.mark.parametrize("nodes,cap", [(5, 2), (40, 3), (40, 1500)])
+def test_chunked_links_join_what_all_pairs_join(spark, monkeypatch, nodes, cap):
+    monkeypatch.setattr(setsketch, "CHUNK_NODES", cap)
+    base, rows = prose(52, 80).split(" "), []
+    for k in range(nodes):
+        rows.append((k, " ".join(base[:60] + [f"u{k % 5}x{j}" for j in range(12)] + [f"z{k}"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = setsketch.signatures(docs, "doc_id", "text", 3)
+    nodes_of = setsketch.stored(signed.selectExpr(
+        "doc_id as node", "doc_id as class_id", "text_key as class_key", "n_shingles"), "nodes")
+    some = nodes_of.selectExpr("cast(7 as long) as bucket", "node", "node as component")
+    links = setsketch._block_links(docs, some, nodes_of, "doc_id", "text", 3, 85)
+    labels = {} if links.isEmpty() else {
+        r["node"]: r["component"] for r in setsketch.components(links).collect()}
+    assert [(i, labels.get(i, i)) for i, _ in rows] == [
+        (i, least) for i, _, least, _ in sorted(near_by_force(rows, 3, 85))]
+
+
 def test_near_groups_of_nothing(odd_docs, no_docs):
     assert setsketch.near_groups(no_docs).count() == 0
     assert setsketch.without_near_copies(odd_docs).columns == odd_docs.columns
@@ -389,8 +419,9 @@ def test_classifier_on_held_out_labels(spark, sf_dir, odd_docs, odd_rows, no_doc
 
 # --- search
 
-@pytest.mark.parametrize("per_pass", [3, 1000])
-def test_top_k(spark, per_pass):
+@pytest.mark.parametrize("per_pass,numbers", [(3, 10 ** 6), (1000, 10 ** 6), (1000, 50)])
+def test_top_k(spark, per_pass, numbers, monkeypatch):
+    monkeypatch.setattr(topk, "NUMBERS_PER_PASS", numbers)
     draw = np.random.default_rng(11)
     rows = [(k, [float(x) for x in draw.normal(size=24) * (1 + k % 3)]) for k in range(0, 400, 5)]
     rows += [(1, rows[3][1]), (2, rows[3][1]), (2, rows[3][1]), (None, rows[4][1]), (50, None),
