@@ -34,6 +34,10 @@ _HINT = re.compile(r"[0-9@]")
 _EDGE = frozenset(" \t\n\x0b\x0c\r\"'`<>()[]{},;|")
 _TRIM = ".:!?*&%$#=-"
 MIN_TOKEN, MAX_TOKEN = 5, 128
+_GROUPS = re.compile(r"\+?[0-9]++(?:[.-][0-9]++)*+")  # a token that may be a part of a number
+# What joins the parts of a number; a full stop before a blank ends a sentence.
+_JOIN = re.compile(r"(?!\.\x20)[\x20().-]{1,4}")
+MAX_DIGITS = 19  # of a number in parts: the most that any kind has
 LOOK = 80  # characters looked at on either side for context words
 BATCH_BYTES = 4 << 20
 ROUNDS = 3
@@ -104,7 +108,8 @@ def _context(text: str, start: int, end: int) -> list[str]:
 
 
 def instances(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
-    """Entities and tokens like identifiers, with the lexical patterns they stand in."""
+    """Entities and tokens like identifiers, with the lexical patterns they stand in. A number
+    written in groups of digits is one identifier."""
     out = [{"start": s, "end": e, "kind": kind, "value": text[s:e].lower(),
             "patterns": _context(text, s, e)} for kind, s, e in base]
     starts, ends = [], []  # of the stretches that base spans cover
@@ -114,7 +119,7 @@ def instances(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
         else:
             starts.append(start)
             ends.append(end)
-    place = 0
+    tokens, place = [], 0
     for hint in iter(lambda: _HINT.search(text, place), None):
         start = end = hint.start()
         while start > 0 and hint.start() - start <= MAX_TOKEN and text[start - 1] not in _EDGE:
@@ -126,16 +131,53 @@ def instances(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
             start += 1
         while start < end and text[end - 1] in _TRIM:
             end -= 1
-        if not MIN_TOKEN <= end - start <= MAX_TOKEN:
+        if not 0 < end - start <= MAX_TOKEN:
             continue
         before = bisect_left(starts, end) - 1
         if before >= 0 and ends[before] > start:
             continue
-        out.append({"start": start, "end": end, "kind": None, "value": text[start:end].lower(),
-                    "patterns": _context(text, start, end)})
+        tokens.append((start, end))
+    for start, end in _numbers(text, tokens):
+        if end - start >= MIN_TOKEN:
+            out.append({"start": start, "end": end, "kind": None,
+                        "value": text[start:end].lower(), "patterns": _context(text, start, end)})
     return out
 
 
+def _numbers(text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """``tokens`` in order, with the groups of digits that make up one number as one span.
+
+    A bracket around the first or last group belongs to the number. Groups with more digits
+    together than any kind has are several numbers and stay as they are.
+    """
+    run: list[tuple[int, int]] = []
+
+    def joined() -> list[tuple[int, int]]:
+        if len(run) < 2:
+            return run
+        start, end = run[0][0], run[-1][1]
+        whole = text[start:end]
+        if sum(c in "0123456789" for c in whole) > MAX_DIGITS:
+            return run
+        if whole.count(")") > whole.count("(") and text[start - 1:start] == "(":
+            start -= 1
+        elif whole.count("(") > whole.count(")") and text[end:end + 1] == ")":
+            end += 1
+        return [(start, end)]
+
+    for start, end in tokens:
+        part = _GROUPS.fullmatch(text, start, end)
+        if run and not (part and text[start] != "+" and start - run[-1][1] <= 4
+                        and _JOIN.fullmatch(text, run[-1][1], start)):
+            yield from joined()
+            run = []
+        if part:
+            run.append((start, end))
+        else:
+            yield start, end
+    yield from joined()
+
+
 def extracted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per document: its base spans and its instances. Written once, read by all rounds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -391,6 +391,35 @@ def test_contexts_discover_unseen_identifiers(spark, odd_docs, odd_rows, no_docs
     assert pii.redact(odd_docs).columns == odd_docs.columns
 
 
+@pytest.mark.parametrize("number, kind", [
+    ("(743) 555-3824", "phone"), ("743 555 3824", "phone"), ("743-555 (3824)", "phone"),
+    ("743 - 555 - 3824", "phone"), ("4111 1111 1111 1112", "card")])
+def test_contexts_discover_numbers_in_groups(spark, number, kind):
+    seeds = {"phone": [f"+1 (743) 555-38{k}" for k in range(10, 18)],
+             "card": ["4111 1111 1111 1111", "5500 0000 0000 0004", "3400 0000 0000 009",
+                      "3000 0000 0000 04", "6011 0000 0000 0004", "3530 1113 3330 0000",
+                      "4012 8888 8888 1881", "5555 5555 5555 4444"]}[kind]
+    rows = [(k, f"his {kind}: {seed} today") for k, seed in enumerate(seeds)]
+    rows.append((50, f"his {kind}: {number} today"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.digests(docs).collect()}
+    start = len(f"his {kind}: ")
+    assert found[50] == f"{kind}:{start}:{start + len(number)}"
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert clean[50] == f"his {kind}: <{kind.upper()}> today"
+
+
+def test_groups_of_a_number_are_one_instance():
+    def values(text):
+        return [text[i["start"]:i["end"]] for i in pii.instances(text, pii.base_spans(text))]
+
+    assert values("tel (743) 555-3824, 743 555 3825. 12345 it") == [
+        "(743) 555-3824", "743 555 3825", "12345"]
+    assert values("in (743 555 3824) 2nd A743 555-3824") == ["743 555 3824", "555-3824"]
+    assert values("1234 123456 " + "1234 " * 9) == ["123456"]  # more digits than a number has
+    assert values("1 2 3 x") == ["1 2 3"] and values("1\n2345\n6") == []
+
+
 # --- quality
 
 def test_statistics_of_odd_texts(odd_docs, odd_rows):
