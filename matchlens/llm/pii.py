@@ -44,6 +44,11 @@ ROUNDS = 3
 MIN_CONFIDENCE = 0.8  # of a pattern that may add spans
 MIN_SEEDS = 3  # distinct entities that must vouch for it
 SMOOTHING = 1.0
+UNKNOWN = 0.25  # of an instance: what one of the kind's form counts that has no score yet
+# What a value of a kind looks like, whether or not it is valid.
+FORMS = {"email": r"^[^@\s]+@[^@\s]+$", "ip": r"^[0-9]+([.][0-9]+){3}$",
+         "card": r"^[0-9]([\x20.-]*[0-9]){12,18}$",
+         "phone": r"^[+(]?[0-9]([\x20().-]*[0-9]){6,14}[)]?$"}
 BROADCAST_ROWS = 500_000
 
 SPAN = "struct<kind:string,start:long,end:long>"
@@ -208,20 +213,31 @@ def reliable_patterns(seen: DataFrame, rounds: int = ROUNDS,
     """``pattern, kind, confidence`` of patterns that vouch for unseen identifiers.
 
     ``seen``: one row per occurrence. A pattern's confidence for a kind is the sum of its distinct
-    instances' scores over their number plus a smoothing count.
+    instances' scores over their number plus a smoothing count. Instances of another kind or form
+    count in full. One that has the kind's form but no score yet is neither right nor wrong: it
+    counts ``UNKNOWN``, so that some of them do not bury the seeds but many still do.
     """
+    form = F.array_compact(F.array(*[F.when(F.col("value").rlike(form), F.lit(kind))
+                                     for kind, form in FORMS.items()]))
     edges = stored(seen.select(F.explode("patterns").alias("pattern"), "value", "kind")
-                   .groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "pii-edges")
+                   .groupBy("pattern", "value").agg(F.max("kind").alias("kind"))
+                   .withColumn("forms", F.when(F.col("kind").isNull(), form)), "pii-edges")
     seeds = edges.where("kind is not null").select("value", "kind").distinct()
     scores = seeds.withColumn("score", F.lit(1.0))
     kept = None
     for _ in range(rounds):
-        sizes = edges.groupBy("pattern").agg(F.count("*").alias("n"))
-        good = (edges.drop("kind").join(scores, "value").groupBy("pattern", "kind")
+        sizes = edges.groupBy("pattern").agg(
+            F.count("*").alias("n"),
+            *[F.count_if(F.array_contains("forms", kind)).alias(f"like_{kind}") for kind in FORMS])
+        good = (edges.withColumnRenamed("kind", "seed").join(scores, "value")
+                .groupBy("pattern", "kind")
                 .agg(F.sum("score").alias("good"),
-                     F.sum((F.col("score") == 1.0).cast("int")).alias("sure")))
+                     F.sum((F.col("score") == 1.0).cast("int")).alias("sure"),
+                     F.count_if(F.array_contains("forms", F.col("kind"))).alias("scored")))
+        like = F.coalesce(*[F.when(F.col("kind") == kind, F.col(f"like_{kind}")) for kind in FORMS])
+        number = F.col("n") - F.lit(1 - UNKNOWN) * (like - F.col("scored"))
         kept = stored(good.join(sizes, "pattern")
-                      .withColumn("confidence", F.col("good") / (F.col("n") + F.lit(SMOOTHING)))
+                      .withColumn("confidence", F.col("good") / (number + F.lit(SMOOTHING)))
                       .where((F.col("confidence") >= min_confidence)
                              & (F.col("sure") >= min_seeds))
                       .select("pattern", "kind", "confidence"), "pii-patterns")

@@ -409,6 +409,21 @@ def test_contexts_discover_numbers_in_groups(spark, number, kind):
     assert clean[50] == f"his {kind}: <{kind.upper()}> today"
 
 
+def test_unscored_instances_of_the_form_do_not_bury_the_seeds(spark):
+    def kept(n_seeds, unseen, pattern="L1 card:"):
+        rows = [([pattern], f"seed {k}", "card") for k in range(n_seeds)]
+        rows += [([pattern], value, None) for value in unseen]
+        seen = spark.createDataFrame(rows, "patterns array<string>, value string, kind string")
+        return [(r["pattern"], r["kind"]) for r in pii.reliable_patterns(seen).collect()]
+
+    cards = [f"4111 1111 1111 {k}" for k in range(1112, 1120)]
+    assert kept(8, cards[:4]) == [("L1 card:", "card")]  # 8 of 12: a third is unseen
+    assert kept(8, cards) == []  # half of them are
+    assert kept(8, [f"v1.{k}-beta" for k in range(4)]) == []  # nothing like a card
+    assert kept(8, [f"+1 743 555 38{k}" for k in range(10, 14)]) == []  # of another form
+    assert kept(4, []) == [("L1 card:", "card")] and kept(3, []) == []
+
+
 def test_groups_of_a_number_are_one_instance():
     def values(text):
         return [text[i["start"]:i["end"]] for i in pii.instances(text, pii.base_spans(text))]
