@@ -50,3 +50,32 @@ def small_enough(frame: DataFrame, rows: int) -> DataFrame:
     """``frame``, a stored table of narrow rows, marked for broadcast if it holds at most ``rows``
     rows. A larger one is left to a shuffled join."""
     return F.broadcast(frame) if frame.count() <= rows else frame
+
+
+def one_row_each(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str, rows: int,
+                 name: str) -> DataFrame:
+    """``docs`` less what ``groups`` drops, with a single row for each kept id and text.
+
+    ``groups``: ``doc_id, text_key, kept`` per row of ``docs``. Only rows whose id and text key
+    repeat are exchanged; whether their texts are equal is told by their bytes.
+    """
+    marks = stored(groups.groupBy(F.col("doc_id").alias("mark_id"),
+                                  F.col("text_key").alias("mark_key"))
+                   .agg(F.min("kept").alias("stays"), F.count("*").alias("copies"))
+                   .where("not stays or copies > 1"), name)
+    key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+
+    def matched(frame: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        some = small_enough(some, rows)
+        return frame.join(some, docs[id_col].cast("long").eqNullSafe(some["mark_id"])
+                          & (key == some["mark_key"]), how)
+
+    once = matched(docs, marks, "left_anti")
+    repeated = marks.where("stays")
+    if repeated.isEmpty():
+        return once
+    again = matched(docs, repeated, "left_semi").withColumns({
+        "__one_id": F.col(id_col).cast("long"),
+        "__one_text": F.coalesce(F.col(text_col).cast("string"), F.lit(""))})
+    return once.unionByName(again.dropDuplicates(["__one_id", "__one_text"])
+                            .drop("__one_id", "__one_text"))

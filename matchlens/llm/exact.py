@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlens.llm.columns import id_and_text, small_enough, stored
+from matchlens.llm.columns import id_and_text, one_row_each, small_enough, stored
 from matchlens.session import new_shared_path
 
 MAX_DEPTH = 16
@@ -183,11 +183,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that :func:`exact_groups` keeps, with all their columns."""
-    gone = stored(exact_groups(docs, id_col, text_col).where(~F.col("kept"))
-                  .select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
-                  .distinct(), "exact-gone")
-    key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    gone = small_enough(gone, BROADCAST_KEYS)
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["gone_id"])
-                     & (key == gone["gone_key"]), "left_anti")
+    """The rows of ``docs`` that :func:`exact_groups` keeps, with all their columns; of kept rows
+    with equal ids, or without ids, and equal texts any one."""
+    return one_row_each(docs, exact_groups(docs, id_col, text_col), id_col, text_col,
+                        BROADCAST_KEYS, "exact-gone")

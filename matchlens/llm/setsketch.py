@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlens.llm import hashing
-from matchlens.llm.columns import id_and_text, pieces_by_bytes, small_enough, stored
+from matchlens.llm.columns import (id_and_text, one_row_each, pieces_by_bytes, small_enough,
+                                    stored)
 from matchlens.llm.hashing import U, mix
 
 REGISTERS = 128
@@ -388,11 +389,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that :func:`near_groups` keeps, with all their columns."""
-    gone = stored(near_groups(docs, id_col, text_col, shingle, percent).where(~F.col("kept"))
-                  .select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
-                  .distinct(), "near-gone")
-    key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    gone = small_enough(gone, BROADCAST_ROWS)
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["gone_id"])
-                     & (key == gone["gone_key"]), "left_anti")
+    """The rows of ``docs`` that :func:`near_groups` keeps, with all their columns; of kept rows
+    with equal ids, or without ids, and equal texts any one."""
+    return one_row_each(docs, near_groups(docs, id_col, text_col, shingle, percent), id_col,
+                        text_col, BROADCAST_ROWS, "near-gone")

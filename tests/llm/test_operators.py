@@ -285,6 +285,18 @@ def test_bands_reach_the_threshold():
         assert (1 - t ** rows) ** (setsketch.REGISTERS // rows) <= 1e-6
 
 
+@pytest.mark.parametrize("stage", [exact.without_copies, setsketch.without_near_copies])
+def test_one_row_of_repeated_rows_stays(spark, stage):
+    text, other = prose(5, 60), prose(6, 60)
+    rows = [(1, text)] * 3 + [(None, other)] * 3 + [(2, "")] + [(2, None), (3, "alone")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)],
+                                 "doc_id long, text string, k int")
+    left = stage(docs)
+    assert left.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"] or "") for r in left.collect()), key=repr) == sorted(
+        [(1, text), (None, other), (2, ""), (3, "alone")], key=repr)
+
+
 # --- repeated passages
 
 def test_substring_removal(odd_docs, odd_rows, no_docs):
