@@ -252,8 +252,12 @@ def _merge_groups(window: int):
 
 
 def repeated_spans(docs: DataFrame, id_col: str, text_col: str, window: int,
-                   hot_heads: int = HOT_HEADS) -> DataFrame:
-    """``doc_id, item``: spans of bytes to remove, as ``[tag, start, end]``."""
+                   hot_heads: int | None = None) -> DataFrame:
+    """``doc_id, item``: spans of bytes to remove, as ``[tag, start, end]``.
+
+    ``hot_heads``: ``HOT_HEADS`` at the time of the call, if none.
+    """
+    hot_heads = HOT_HEADS if hot_heads is None else hot_heads
     texts = tagged(docs, id_col, text_col)
     found = stored(owned(scan(texts, _stretches(window), True, BATCH_BYTES), "anchor", True, True),
                    "suffix-stretches")

@@ -349,6 +349,25 @@ def test_suffix_removal(spark, odd_docs, odd_rows, no_docs, hot, monkeypatch):
     assert suffix.digests(odd_docs).count() == len(odd_rows)
 
 
+@pytest.mark.parametrize("hot", [0, 5000])
+def test_anchors_over_the_limit_go_window_by_window(spark, odd_rows, hot, monkeypatch):
+    monkeypatch.setattr(suffix, "HOT_HEADS", hot)
+    tables, single, stored = {}, [], suffix.stored
+    windows = suffix._single_windows
+    monkeypatch.setattr(suffix, "stored", lambda frame, name: tables.setdefault(
+        name, stored(frame, name)))
+    monkeypatch.setattr(suffix, "_single_windows",
+                        lambda window: single.append(window) or windows(window))
+    long = odd_rows[8][1]
+    rows = [(k, long[1000 * k:1000 * k + 3000] + f" end {k}") for k in range(6)]
+    rows += [(20, "line of text that repeats itself here.\n" * 12), (21, "ab" * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(((i, n, r, s, bytes(k)) for i, n, r, s, k in
+                    suffix.remove_repeats(docs).collect()), key=repr)
+    assert found == bytes_by_force(rows, 100)
+    assert tables["suffix-hot"].isEmpty() == (hot > 0) and bool(single) == (hot == 0)
+
+
 def test_merge_of_transforms_sorts_rotations():
     draw = np.random.default_rng(8)
     for _ in range(10):
