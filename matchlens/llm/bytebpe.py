@@ -16,6 +16,7 @@ import public_tokenizers
 
 CACHED_WORDS = 500_000
 CACHED_WORD_CHARS = 64
+LONG_WORD_CHARS = 4096  # runs of letters or white space that the rank encoder is not given
 _BLANK_AFTER_SPACE = re.compile(r" (?:\s|\Z)")
 _WORD_START = re.compile(r" (?=\S)")
 
@@ -79,13 +80,18 @@ class ByteBpe:
             ranks = {piece: i for i, piece in self.pieces.items()}
             encoding = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN,
                                          mergeable_ranks=ranks, special_tokens={})
-            return encoding.encode_ordinary
-        return lambda text: self.library.encode(text, add_special_tokens=False).ids
+            # Its pattern matcher recurses over runs; the library's own takes any length.
+            return lambda text: (encoding.encode_ordinary(text) if len(text) <= LONG_WORD_CHARS
+                                 else self._by_library(text))
+        return self._by_library
+
+    def _by_library(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of ``text`` as int32."""
         if any(content in text for content in self.special):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
+            return np.array(self._by_library(text), np.int32)
         if not text:
             return np.zeros(0, np.int32)
         words = _WORD_START.split(text) if _BLANK_AFTER_SPACE.search(text) else text.split(" ")

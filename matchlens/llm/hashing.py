@@ -25,12 +25,17 @@ def salts(count: int, seed: int) -> np.ndarray:
     return mix(np.arange(count, dtype=U) + U(seed) * U(1_000_003)) | U(1)
 
 
-@functools.lru_cache(maxsize=4)
-def _byte_codes(lower: bool, seed: int) -> np.ndarray:
-    codes = salts(256, 17 + seed)
-    if lower:
-        codes[65:91] = codes[97:123]
-    return codes
+@functools.lru_cache(maxsize=1)
+def _lower_case() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint8)
+    table[65:91] = table[97:123]
+    return table
+
+
+@functools.lru_cache(maxsize=1)
+def byte_codes() -> np.ndarray:
+    """A number for each byte, for the run hashes of :func:`prefix_sums`."""
+    return salts(256, 17)
 
 
 class _Powers:
@@ -51,6 +56,29 @@ class _Powers:
         return cls.up[:count], cls.down[:count]
 
 
+def word_hash(data: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Keyed hash of the bytes in each ``[begin, end)``.
+
+    Every block of eight bytes goes through a bijective mix before the next one is added, so the
+    repeats inside a word cannot cancel out as they do in a polynomial modulo 2**64.
+    """
+    blocks = np.ndarray(len(data), "<u8", np.append(data, np.zeros(8, np.uint8)), 0, (1,))
+    size = (end - begin).astype(U)
+    state = mix(size + salts(1, 17 + seed)[0])
+    key = salts(1, 29 + seed)[0]
+    live = np.flatnonzero(size > 0)
+    at = begin[live]
+    while len(live):
+        block = blocks[at]
+        left = end[live] - at
+        short = left < 8
+        block[short] &= (U(1) << (left[short].astype(U) * U(8))) - U(1)
+        state[live] = mix(state[live] ^ mix(block + key))
+        more = left > 8
+        live, at = live[more], at[more] + 8
+    return state
+
+
 def prefix_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For :func:`span_hash`: sums of value times power before each place, inverse powers."""
     up, down = _Powers.get(len(values) + 1)
@@ -84,9 +112,9 @@ def words(texts: list[bytes], lower: bool = False, seed: int = 0):
     of the first word of each text (with the total at the end)."""
     data, starts, _ = joined(texts)
     begin, end = word_bounds(data)
-    sums, down = prefix_sums(_byte_codes(lower, seed)[data])
     first = np.searchsorted(begin, starts)
-    return span_hash(sums, down, begin, end), begin, end, np.append(first, len(begin))
+    hashes = word_hash(_lower_case()[data] if lower else data, begin, end, seed)
+    return hashes, begin, end, np.append(first, len(begin))
 
 
 def sequence_hash(hashes: np.ndarray, length: int, seed: int) -> np.ndarray:

@@ -35,7 +35,7 @@ REMOVED = "doc_id long, place long"
 
 def _joined_hashes(texts: list[bytes]):
     data, starts, sizes = hashing.joined(texts)
-    values = hashing._byte_codes(False, 0)[data]
+    values = hashing.byte_codes()[data]
     return data, starts, sizes, values
 
 

@@ -8,7 +8,7 @@ import __spark_entry__ as registry
 from matchlens.llm import queries as llm
 from matchlens.llm import packing
 from matchlens.llm.columns import stored
-from test_operators import near_by_force
+from test_llm_operators import near_by_force
 
 
 @pytest.fixture(scope="module")
