@@ -12,14 +12,25 @@ from pyspark.sql import functions as F
 from matchlens.session import new_shared_path
 
 WORD_BREAKS = b"\x20\t\n\x0b\x0c\r"  # the contract's word class is everything but these bytes
+ARROW_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession, size: int = ARROW_BYTES) -> None:
+    """Lets the JVM hand Arrow batches of at most about ``size`` bytes to Python from now on in this
+    session; a smaller setting stays. Ten thousand long rows would otherwise be one batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = "".join(c for c in str(spark.conf.get(name)) if c.isdigit())
+    if not now or int(now) > size:
+        spark.conf.set(name, str(size))
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator reads, under fixed names; a null text counts as empty."""
+    bounded_batches(docs.sparkSession)
     return docs.select(docs[id_col].cast("long").alias("doc_id"),
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
 

@@ -19,7 +19,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlens.llm.columns import id_and_text, pieces_by_bytes, stored
+from matchlens.llm.columns import bounded_batches, id_and_text, pieces_by_bytes, stored
 
 STATISTICS = (
     "log_bytes", "log_words", "word_length", "word_length_spread", "upper_share", "digit_share",
@@ -107,9 +107,9 @@ class Rule:
 
     bounds: tuple[tuple[str, float, float], ...]
 
-    def column(self) -> Column:
+    def column(self, prefix: str = "") -> Column:
         tests = []
-        for name, low, high in self.bounds:
+        for name, low, high in ((prefix + n, *b) for n, *b in self.bounds):
             if low > -math.inf:
                 tests.append(F.col(name) > F.lit(low))
             if high < math.inf:
@@ -131,10 +131,10 @@ class RuleEnsemble:
     intercept: float = 0.0
     weights: list[tuple[Rule, float]] = field(default_factory=list)
 
-    def score(self) -> Column:
+    def score(self, prefix: str = "") -> Column:
         total = F.lit(self.intercept)
         for rule, weight in self.weights:
-            total = total + rule.column() * F.lit(weight)
+            total = total + rule.column(prefix) * F.lit(weight)
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
@@ -234,24 +234,23 @@ def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier predicts to be good, with all their columns.
 
-    The score is attached to the row itself, so nothing is joined or exchanged.
+    Only the text goes to Python, and only its statistics come back: rows stay where they are and
+    nothing is joined or exchanged. Null and empty texts are judged by statistics of 0, rows with
+    equal or null ids and equal texts each by themselves, very long texts as a whole; an empty
+    table stays empty.
     """
     model = fit(training_rows(docs, labels, TRAIN_ROWS, id_col, text_col))
-    names = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"),
-                         F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces_by_bytes(batches, BATCH_BYTES):
-            found = batch_statistics(batch.column("text").cast(pa.binary()).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), *(pa.array(found[name]) for name in STATISTICS)],
-                names=["row", *STATISTICS])
-
-    from pyspark.sql.types import DoubleType, StructType
-
-    schema = StructType().add("row", packed.schema["row"].dataType)
-    for name in STATISTICS:
-        schema = schema.add(name, DoubleType())
-    kept = packed.mapInArrow(run, schema).where(model.score() >= threshold)
-    return kept.select("row.*")
+    bounded_batches(docs.sparkSession)
+
+    @F.arrow_udf("struct<" + ", ".join(f"{name}: double" for name in STATISTICS) + ">")
+    def measured(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        parts = [batch_statistics(part.column("text").cast(pa.binary()).to_pylist())
+                 for part in pieces_by_bytes(iter([batch]), BATCH_BYTES)]
+        return pa.StructArray.from_arrays(
+            [pa.array(np.concatenate([p[name] for p in parts] or [np.zeros(0)]))
+             for name in STATISTICS], names=list(STATISTICS))
+
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    return docs.withColumn("__statistics", measured(text)).where(
+        model.score("__statistics.") >= threshold).drop("__statistics")
