@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlens.llm import (exact, packing, pii, quality, sentencepiece_codec, setsketch, substring,
+from matchlens.llm import (exact, merkle, packing, pii, quality, sentencepiece_codec, setsketch, substring,
                            suffix, tokens, topk)
 from matchlens.llm.columns import table
 
@@ -51,8 +51,14 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, claims=merkle.tampered(docs))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_packing, op4_near, op5_exact,
-                                   op6_pii, op7_substring, op8_suffix, op9_tokens, op10_topk)}
+                                   op6_pii, op7_substring, op8_suffix, op9_tokens, op10_topk,
+                                   op12_manifest)}
 
 SQL = {
     "op4_near": """
@@ -125,4 +131,71 @@ SQL = {
                        ORDER BY score DESC, vec_id) AS INTEGER) AS rank
             FROM scores)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op12_manifest": """
+        WITH RECURSIVE framed AS (
+            SELECT doc_id, lang, n_chars, CAST(doc_id AS VARCHAR) AS id_text,
+                   CASE WHEN doc_id IS NULL THEN '-'
+                        ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END
+                   || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+                   || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS head,
+                   CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS tail
+            FROM documents),
+        marked AS (
+            SELECT *, 4294967295 - list_reduce(
+                       list_concat([4294967295], flatten(list_transform(range(1, len(id_text) + 1),
+                           lambda i: [CAST(ord(id_text[i]) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+                       lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))) AS crc
+            FROM framed),
+        leaves AS (
+            SELECT doc_id, coalesce('=' || lang, '') AS g,
+                   sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE
+                          strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END || tail) AS leaf,
+                   sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE
+                          strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1) END || tail)
+                       AS changed,
+                   crc % 7 = 0 AS tampered
+            FROM marked),
+        placed AS (
+            SELECT *, CASE WHEN tampered THEN changed ELSE leaf END AS claimed,
+                   row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+                   count(*) OVER (PARTITION BY g) AS n
+            FROM leaves),
+        nodes AS (
+            SELECT g, 0 AS lvl, p, n, leaf AS h FROM placed
+            UNION ALL
+            SELECT g, lvl + 1, p // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY p))
+            FROM nodes WHERE n > 1 GROUP BY g, lvl, n, p // 2),
+        tops AS (
+            SELECT g, h, row_number() OVER (ORDER BY encode(g)) - 1 AS p, count(*) OVER () AS n
+            FROM nodes WHERE n = 1),
+        top_nodes AS (
+            SELECT 0 AS lvl, p, n, h FROM tops
+            UNION ALL
+            SELECT lvl + 1, p // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY p))
+            FROM top_nodes WHERE n > 1 GROUP BY lvl, n, p // 2),
+        walk AS (
+            SELECT g, p AS start, 0 AS lvl, p, n, claimed AS c, '' AS siblings FROM placed
+            UNION ALL
+            SELECT w.g, w.start, w.lvl + 1, w.p // 2, (w.n + 1) // 2,
+                   CASE WHEN s.h IS NULL THEN sha256(w.c) WHEN w.p % 2 = 1 THEN sha256(s.h || w.c)
+                        ELSE sha256(w.c || s.h) END,
+                   w.siblings || coalesce(s.h, '')
+            FROM walk w LEFT JOIN nodes s ON s.g = w.g AND s.lvl = w.lvl
+                 AND s.p = CASE WHEN w.p % 2 = 1 THEN w.p - 1 ELSE w.p + 1 END
+            WHERE w.n > 1),
+        top_walk AS (
+            SELECT w.g, w.start, 0 AS lvl, t.p, t.n, w.c, w.siblings
+            FROM walk w JOIN tops t ON t.g = w.g WHERE w.n = 1
+            UNION ALL
+            SELECT w.g, w.start, w.lvl + 1, w.p // 2, (w.n + 1) // 2,
+                   CASE WHEN s.h IS NULL THEN sha256(w.c) WHEN w.p % 2 = 1 THEN sha256(s.h || w.c)
+                        ELSE sha256(w.c || s.h) END,
+                   w.siblings || coalesce(s.h, '')
+            FROM top_walk w LEFT JOIN top_nodes s ON s.lvl = w.lvl
+                 AND s.p = CASE WHEN w.p % 2 = 1 THEN w.p - 1 ELSE w.p + 1 END
+            WHERE w.n > 1)
+        SELECT d.doc_id, d.leaf, t.h AS subroot, r.h AS root, sha256(w.siblings) AS proof_sha256,
+               w.c AS folded_root, w.c = r.h AS verified
+        FROM placed d JOIN top_walk w ON w.g = d.g AND w.start = d.p AND w.n = 1
+             JOIN tops t ON t.g = d.g CROSS JOIN (SELECT h FROM top_nodes WHERE n = 1) r""",
 }
