@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlens.llm import (exact, merkle, packing, pii, quality, sentencepiece_codec, setsketch, substring,
+from matchlens.llm import (collocations, exact, merkle, packing, pii, quality, sentencepiece_codec, setsketch, substring,
                            suffix, tokens, topk)
 from matchlens.llm.columns import table
 
@@ -51,6 +51,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return merkle.manifest(docs, claims=merkle.tampered(docs))
@@ -58,7 +62,7 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_packing, op4_near, op5_exact,
                                    op6_pii, op7_substring, op8_suffix, op9_tokens, op10_topk,
-                                   op12_manifest)}
+                                   op11_collocations, op12_manifest)}
 
 SQL = {
     "op4_near": """
@@ -131,6 +135,43 @@ SQL = {
                        ORDER BY score DESC, vec_id) AS INTEGER) AS rank
             FROM scores)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op11_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(
+                       coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents),
+        words AS (
+            SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+        lengths AS (SELECT unnest(range(1, 6)) AS k),
+        spots AS (
+            SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+            FROM words, lengths WHERE len(w) >= k),
+        phrases AS (
+            SELECT lang, k, w[i:i + k - 1] AS p, count(*) AS f
+            FROM spots GROUP BY ALL HAVING count(*) >= 100),
+        whole AS (
+            SELECT DISTINCT s.lang, s.p FROM phrases s JOIN phrases q
+            ON q.lang = s.lang AND q.k = s.k + 1 AND (q.p[:s.k] = s.p OR q.p[2:] = s.p)
+               AND 100 * q.f >= 100 * s.f),
+        cuts AS (
+            SELECT lang, k, p, f, unnest(range(1, k)) AS c FROM phrases
+            WHERE k >= 2 AND (lang, p) NOT IN (SELECT (lang, p) FROM whole)),
+        scored AS (
+            SELECT c.lang, array_to_string(c.p, ' ') AS phrase, c.f AS a, l.f AS l, r.f AS r, t.n,
+                   c.c, CAST(CAST(1000 AS HUGEINT) * c.f * t.n
+                             // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+            FROM cuts c JOIN phrases l ON l.lang = c.lang AND l.p = c.p[:c.c]
+                 JOIN phrases r ON r.lang = c.lang AND r.p = c.p[c.c + 1:]
+                 JOIN totals t ON t.lang = c.lang),
+        lowest AS (
+            SELECT * FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+        SELECT lang, CAST(row_number() OVER (PARTITION BY lang
+                   ORDER BY score DESC, a DESC, encode(phrase)) AS INTEGER) AS rank,
+               phrase, a, l, r, n, score
+        FROM lowest QUALIFY rank <= 2000""",
     "op12_manifest": """
         WITH RECURSIVE framed AS (
             SELECT doc_id, lang, n_chars, CAST(doc_id AS VARCHAR) AS id_text,
