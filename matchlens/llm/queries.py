@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlens.llm import (collocations, exact, merkle, packing, pii, quality, sentencepiece_codec, setsketch, substring,
-                           suffix, tokens, topk)
+from matchlens.llm import (collocations, exact, language, merkle, packing, pii, quality,
+                           sentencepiece_codec, setsketch, substring, suffix, tokens, topk)
 from matchlens.llm.columns import table
 
 
@@ -60,9 +60,13 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, claims=merkle.tampered(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_packing, op4_near, op5_exact,
-                                   op6_pii, op7_substring, op8_suffix, op9_tokens, op10_topk,
-                                   op11_collocations, op12_manifest)}
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality, op2_sentencepiece, op3_packing, op4_near, op5_exact, op6_pii, op7_substring,
+    op8_suffix, op9_tokens, op10_topk, op11_collocations, op12_manifest, op13_language)}
 
 SQL = {
     "op4_near": """
