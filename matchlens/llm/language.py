@@ -72,12 +72,12 @@ class Automaton:
                         at = link[at]
                     link[to] = link[now] = copy
             last = now
-        first = np.zeros(width, np.int32)
+        first = np.full(width, len(follow) * width, np.int32)
         for symbol, to in follow[0].items():
             first[symbol] = to * width
+        follow.append({})  # after a symbol that the reference lacks, a phrase by itself
         table = np.tile(first | np.int32(-2 ** 31), (len(follow), 1))
-        table[0] &= np.int32(2 ** 31 - 1)
-        table[0, first == 0] |= np.int32(-2 ** 31)  # a symbol it lacks is a phrase by itself
+        table[0] = first
         for state, steps in enumerate(follow):
             table[state, list(steps)] = np.array(list(steps.values()), np.int32) * width
         table[:, 0] = np.arange(len(follow), dtype=np.int32) * width
