@@ -12,10 +12,8 @@ from statistics import fmean, pstdev
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
     NaiveBayes,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -24,6 +22,11 @@ from pyspark.sql import functions as F
 
 from matchlens import config
 from matchlens.functions.numeric import half_even
+from matchlens.operators.boosting import (
+    BoostingSettings,
+    HistogramBoosting,
+    HistogramBoostingModel,
+)
 from matchlens.operators.metrics import overall_scores
 from matchlens.operators.neighbours import (
     column_vector,
@@ -43,11 +46,7 @@ class ModelSettings:
     forest_bins: int = 64
     iterations: int = 1000
     neighbours: int = 25
-    boosting_rounds: int = 100
-    boosting_depth: int = 5
-    boosting_bins: int = 255
-    boosting_step: float = 0.1
-    boosting_min_rows: int = 20
+    boosting: BoostingSettings = BoostingSettings()
     memory_mb: int = 1024
     seed: int = config.SEED
 
@@ -94,8 +93,9 @@ class NearestNeighboursModel(Model):
         return cls(spark.read.parquet(f"{path}/rows"), **about)
 
 
-def save_model(model: PipelineModel | NearestNeighboursModel, path: str) -> None:
-    if isinstance(model, NearestNeighboursModel):
+def save_model(model: PipelineModel | NearestNeighboursModel | HistogramBoostingModel,
+               path: str) -> None:
+    if isinstance(model, (NearestNeighboursModel, HistogramBoostingModel)):
         model.save(path)
     else:
         model.write().overwrite().save(path)
@@ -104,6 +104,8 @@ def save_model(model: PipelineModel | NearestNeighboursModel, path: str) -> None
 def load_model(spark: SparkSession, path: str, name: str):
     if name == config.NEAREST_NEIGHBOURS:
         return NearestNeighboursModel.load(spark, path)
+    if name == config.GRADIENT_BOOSTING:
+        return HistogramBoostingModel.load(spark, path)
     return PipelineModel.load(path)
 
 
@@ -121,11 +123,6 @@ def build_models(features: Sequence[str], label: str = config.LABEL, key: str =
     def scaled(classifier):
         return Pipeline(stages=[assemble, scale, classifier])
 
-    boosted = GBTClassifier(
-        featuresCol="vector", labelCol=label, maxIter=settings.boosting_rounds,
-        stepSize=settings.boosting_step, maxDepth=settings.boosting_depth,
-        maxBins=settings.boosting_bins, minInstancesPerNode=settings.boosting_min_rows,
-        maxMemoryInMB=settings.memory_mb, seed=seed)
     return {
         config.DECISION_TREE: raw(DecisionTreeClassifier(
             featuresCol="vector", labelCol=label, maxDepth=settings.tree_depth,
@@ -138,8 +135,7 @@ def build_models(features: Sequence[str], label: str = config.LABEL, key: str =
             featuresCol="scaled", labelCol=label, modelType="gaussian")),
         config.LOGISTIC_REGRESSION: scaled(_PenalisedLogistic(label, settings.iterations)),
         config.NEAREST_NEIGHBOURS: NearestNeighbours(features, label, key, settings.neighbours),
-        config.GRADIENT_BOOSTING: raw(OneVsRest(
-            classifier=boosted, featuresCol="vector", labelCol=label, parallelism=3)),
+        config.GRADIENT_BOOSTING: HistogramBoosting(features, label, settings.boosting),
     }
 
 

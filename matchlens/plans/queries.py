@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from matchlens.operators import (
     scoring,
     split,
 )
+from matchlens.operators.boosting import BoostingSettings
 from matchlens.plans import study
 from matchlens.session import new_shared_path
 from matchlens.sources.csv import read_matches
@@ -35,11 +37,12 @@ OUTLIER_COLUMNS = config.STATISTIC_COLUMNS + config.ODDS_COLUMNS
 LINE_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 CORRELATED = (*config.FEATURE_COLUMNS, config.LABEL)
 
-# The whole comparison needs 72 fits at the library's defaults. The registered model queries
-# train on the same rows with smaller forests, fewer boosting rounds and two folds.
+# The whole comparison needs 72 fits at the library's defaults. Its registered queries train on the
+# same rows with smaller forests, fewer boosting rounds and two folds; the predictions of a single
+# model have smaller forests only.
 SMALL_MODELS = models.ModelSettings(
-    tree_bins=32, forest_trees=20, forest_depth=10, forest_bins=32, iterations=100,
-    boosting_rounds=5, boosting_depth=3, boosting_bins=32)
+    forest_trees=20, forest_depth=10, forest_bins=32, boosting=BoostingSettings(rounds=5))
+ONE_MODEL = replace(SMALL_MODELS, boosting=BoostingSettings())
 SMALL_FOREST = {"trees": 20, "depth": 10, "bins": 32}
 FOLDS = 2
 
@@ -280,7 +283,7 @@ def _split_matches(spark, sf_dir):
 def _match_predictions(name: str) -> Query:
     def query(spark, sf_dir):
         train, test = _split_matches(spark, sf_dir)
-        model = models.build_models(config.FEATURE_COLUMNS, settings=SMALL_MODELS)[name]
+        model = models.build_models(config.FEATURE_COLUMNS, settings=ONE_MODEL)[name]
         predicted = model.fit(train).transform(test)
         return predicted.select(KEY, config.LABEL, F.col("prediction").cast("int"))
     return query

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from matchlens import config
 from matchlens.operators import models, scoring
+from matchlens.operators.boosting import BoostingSettings
 from matchlens.operators.distribution import majority_share
 from matchlens.operators.metrics import overall_scores
 from matchlens.plans import study
@@ -12,9 +13,8 @@ from matchlens.session import new_shared_path
 from matchlens.sources.staging import staged_matches, staged_modelling_frame
 from matchlens.sources.tables import load_tables
 
-TINY = models.ModelSettings(tree_depth=4, tree_bins=32, forest_trees=10, forest_depth=4,
-                            forest_bins=32, iterations=15, neighbours=15, boosting_rounds=2,
-                            boosting_depth=3, boosting_bins=32)
+TINY = models.ModelSettings(tree_depth=4, forest_trees=10, forest_depth=4, forest_bins=32,
+                            neighbours=15, boosting=BoostingSettings(rounds=4))
 FOREST = {"trees": 10, "depth": 4, "bins": 32}
 
 
