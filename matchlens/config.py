@@ -14,6 +14,7 @@ TOP_K = 10
 # Label column, class codes in report order, class names
 LABEL = "result"
 CLASS_ORDER = (1, 0, 2)
+MODEL_CLASSES = (0, 1, 2)
 CLASS_NAMES = {1: "Ev Sahibi Galibiyeti", 0: "Beraberlik", 2: "Deplasman Galibiyeti"}
 CLASS_SHORT_NAMES = {1: "Ev (1)", 0: "Beraberlik (0)", 2: "Deplasman (2)"}
 

@@ -11,8 +11,6 @@ from statistics import fmean, pstdev
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    LogisticRegression,
     NaiveBayes,
     RandomForestClassifier,
 )
@@ -27,6 +25,8 @@ from matchlens.operators.boosting import (
     HistogramBoosting,
     HistogramBoostingModel,
 )
+from matchlens.operators.cart import ExactTree, ExactTreeModel
+from matchlens.operators.logistic import LogisticModel, NewtonLogistic
 from matchlens.operators.metrics import overall_scores
 from matchlens.operators.neighbours import (
     column_vector,
@@ -40,11 +40,11 @@ class ModelSettings:
     """Hyperparameters. Spark caps tree depth at 30; 15 stands in for unlimited depth."""
 
     tree_depth: int = 12
-    tree_bins: int = 255
     forest_trees: int = 300
     forest_depth: int = 15
     forest_bins: int = 64
     iterations: int = 1000
+    penalty: float = 1.0
     neighbours: int = 25
     boosting: BoostingSettings = BoostingSettings()
     memory_mb: int = 1024
@@ -93,19 +93,22 @@ class NearestNeighboursModel(Model):
         return cls(spark.read.parquet(f"{path}/rows"), **about)
 
 
-def save_model(model: PipelineModel | NearestNeighboursModel | HistogramBoostingModel,
-               path: str) -> None:
-    if isinstance(model, (NearestNeighboursModel, HistogramBoostingModel)):
+# Models of this library by display name; the others are Spark's pipelines.
+OWN_MODELS = {config.DECISION_TREE: ExactTreeModel, config.LOGISTIC_REGRESSION: LogisticModel,
+              config.NEAREST_NEIGHBOURS: NearestNeighboursModel,
+              config.GRADIENT_BOOSTING: HistogramBoostingModel}
+
+
+def save_model(model: Model, path: str) -> None:
+    if isinstance(model, tuple(OWN_MODELS.values())):
         model.save(path)
     else:
         model.write().overwrite().save(path)
 
 
-def load_model(spark: SparkSession, path: str, name: str):
-    if name == config.NEAREST_NEIGHBOURS:
-        return NearestNeighboursModel.load(spark, path)
-    if name == config.GRADIENT_BOOSTING:
-        return HistogramBoostingModel.load(spark, path)
+def load_model(spark: SparkSession, path: str, name: str) -> Model:
+    if name in OWN_MODELS:
+        return OWN_MODELS[name].load(spark, path)
     return PipelineModel.load(path)
 
 
@@ -124,35 +127,20 @@ def build_models(features: Sequence[str], label: str = config.LABEL, key: str =
         return Pipeline(stages=[assemble, scale, classifier])
 
     return {
-        config.DECISION_TREE: raw(DecisionTreeClassifier(
-            featuresCol="vector", labelCol=label, maxDepth=settings.tree_depth,
-            maxBins=settings.tree_bins, maxMemoryInMB=settings.memory_mb, seed=seed)),
+        config.DECISION_TREE: ExactTree(features, label, settings.tree_depth),
         config.RANDOM_FOREST: raw(RandomForestClassifier(
             featuresCol="vector", labelCol=label, numTrees=settings.forest_trees,
             maxDepth=settings.forest_depth, maxBins=settings.forest_bins,
             featureSubsetStrategy="sqrt", maxMemoryInMB=settings.memory_mb, seed=seed)),
         config.NAIVE_BAYES: scaled(NaiveBayes(
             featuresCol="scaled", labelCol=label, modelType="gaussian")),
-        config.LOGISTIC_REGRESSION: scaled(_PenalisedLogistic(label, settings.iterations)),
+        config.LOGISTIC_REGRESSION: NewtonLogistic(features, label, 1 / settings.penalty,
+                                                   settings.iterations),
         config.NEAREST_NEIGHBOURS: NearestNeighbours(features, label, key, settings.neighbours),
         config.GRADIENT_BOOSTING: HistogramBoosting(features, label, settings.boosting),
     }
 
 
-class _PenalisedLogistic(Estimator):
-    """Multinomial regression whose L2 penalty is one over the number of training rows."""
-
-    def __init__(self, label: str, iterations: int):
-        super().__init__()
-        self.label, self.iterations = label, iterations
-
-    def _fit(self, dataset: DataFrame):
-        return LogisticRegression(
-            featuresCol="scaled", labelCol=self.label, family="multinomial",
-            maxIter=self.iterations, regParam=1.0 / max(1, dataset.count()), elasticNetParam=0.0,
-            standardization=False).fit(dataset)
-
-
 def cross_validate(model: Estimator, folded: DataFrame, label: str = config.LABEL,
                    folds: int = config.CV_FOLDS, parallelism: int = 2) -> list[float]:
     """Accuracy per fold of a frame that carries a ``fold`` column; fits run side by side."""

