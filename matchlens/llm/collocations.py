@@ -26,7 +26,8 @@ from matchlens.llm.columns import bounded_batches, stored
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
+HELD_ROWS = 1 << 17
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -67,7 +68,7 @@ def split_words(data: bytes) -> tuple[pa.Array, np.ndarray]:
     offsets = np.append(0, np.cumsum(end - begin)).astype(np.int32)
     words = pa.Array.from_buffers(pa.binary(), len(begin), [
         None, pa.py_buffer(offsets), pa.py_buffer(codes[~apart])]).dictionary_encode()
-    piece = np.cumsum(_BREAK[codes])[begin]
+    piece = np.searchsorted(np.flatnonzero(_BREAK[codes]), begin)
     place = np.arange(len(begin)) + np.cumsum(np.append(False, piece[1:] != piece[:-1])) \
         if len(begin) else begin
     line = np.full(place[-1] + 1 if len(place) else 0, -1, np.int32)
@@ -75,99 +76,144 @@ def split_words(data: bytes) -> tuple[pa.Array, np.ndarray]:
     return words.dictionary, line
 
 
-def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    offsets = np.append(0, np.cumsum([len(p) for p in parts])).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts), kind))
+def squeezed(values: np.ndarray) -> bytes:
+    """The numbers as compressed bytes; relations move and rest in this form."""
+    data = np.ascontiguousarray(values).tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def expanded(data: bytes, kind: type) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), kind)
+
+
+def _by_language(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, bytes]]:
+    """The texts of a task joined to blocks of one language."""
+    held: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(),
+                              batch.column("text").cast(pa.binary()).to_pylist()):
+            held.setdefault(lang, []).append(text)
+            sizes[lang] = sizes.get(lang, 0) + len(text)
+            if sizes[lang] >= size:
+                yield from ((lang, data) for data in stretches(held.pop(lang), size))
+                del sizes[lang]
+        while sum(sizes.values()) > 2 * size:
+            lang = max(sizes, key=sizes.get)
+            yield from ((lang, data) for data in stretches(held.pop(lang), size))
+            del sizes[lang]
+    for lang in list(held):
+        yield from ((lang, data) for data in stretches(held.pop(lang), size))
 
 
 def _blocks(block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            langs = batch.column("lang").dictionary_encode()
-            text = batch.column("text").cast(pa.binary())
-            for k, lang in enumerate(langs.dictionary.to_pylist()):
-                mine = np.flatnonzero(langs.indices.to_numpy() == k)
-                for data in stretches(text.take(pa.array(mine)).to_pylist(), block_bytes):
-                    words, line = split_words(data)
-                    if not len(words):
-                        continue
-                    number += 1
-                    counts = np.bincount(line[line >= 0], minlength=len(words))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([number]), pa.array([lang], pa.string()),
-                         pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-                         _lists([counts], pa.int64()), _lists([line], pa.int32())],
-                        names=["block", "lang", "words", "counts", "line"])
+        for lang, data in _by_language(batches, block_bytes):
+            words, line = split_words(data)
+            if not len(words):
+                continue
+            number += 1
+            counts = np.bincount(line[line >= 0], minlength=len(words))
+            both = [pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), x)
+                    for x in (words, pa.array(counts, pa.int64()))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([lang], pa.string()), *both,
+                 pa.array([squeezed(line)], pa.binary())],
+                names=["block", "lang", "words", "counts", "line"])
     return run
 
 
-def _encoded(place: np.ndarray, phrase: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions as steps, which are mostly 1 and take next to no room."""
-    return np.diff(place, prepend=0).astype(np.int32), phrase
+def _related(block: int, place: np.ndarray, phrase: np.ndarray) -> pa.RecordBatch:
+    """Occurrences in the order of their positions, as steps, which are mostly small."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block], pa.int64()),
+         pa.array([squeezed(np.diff(place, prepend=0).astype(np.int32))], pa.binary()),
+         pa.array([squeezed(phrase.astype(np.int64))], pa.binary())],
+        names=["block", "step", "phrase"])
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks with the numbers of their frequent words in place of their own."""
     for batch in batches:
         for row in range(batch.num_rows):
-            line = batch.column("line")[row].values.to_numpy()
-            found = batch.column("found")[row].values
-            number = np.full(max(1, int(line.max(initial=0)) + 1), -1, np.int64)
-            number[found.field("code").to_numpy()] = found.field("id").to_numpy()
-            phrase = np.where(line >= 0, number[np.maximum(line, 0)], -1)
+            line = expanded(batch.column("line")[row].as_py(), np.int32)
+            number = np.full(int(line.max(initial=0)) + 1, -1, np.int64)
+            number[batch.column("codes")[row].values.to_numpy()] = \
+                batch.column("ids")[row].values.to_numpy()
+            phrase = np.where(line >= 0, number[line], -1)
             place = np.flatnonzero(phrase >= 0)
-            step, phrase = _encoded(place, phrase[place])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block").slice(row, 1), _lists([step], pa.int32()),
-                 _lists([phrase], pa.int64())], names=["block", "step", "phrase"])
+            yield _related(batch.column("block")[row].as_py(), place, phrase[place])
 
 
 def _adjacent(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The merge join: position and both phrases wherever two start a word apart."""
-    place = np.cumsum(batch.column("step")[row].values.to_numpy(), dtype=np.int64)
-    phrase = batch.column("phrase")[row].values.to_numpy()
-    next_to = np.flatnonzero(place[1:] == place[:-1] + 1)
-    return place[next_to], phrase[next_to], phrase[next_to + 1]
+    """The merge join: where two phrases start a word apart; all positions and phrases."""
+    place = np.cumsum(expanded(batch.column("step")[row].as_py(), np.int32), dtype=np.int64)
+    phrase = expanded(batch.column("phrase")[row].as_py(), np.int64)
+    return np.flatnonzero(place[1:] == place[:-1] + 1), place, phrase
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
-            _, a, b = _adjacent(batch, row)
-            if not len(a):
-                continue
-            own, code = np.unique(np.concatenate([a, b]), return_inverse=True)
-            pair, n = np.unique(code[:len(a)] * len(own) + code[len(a):], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own[pair // len(own)]), pa.array(own[pair % len(own)]), pa.array(n)],
-                names=["a", "b", "n"])
+            at, _, phrase = _adjacent(batch, row)
+            own, code = np.unique(phrase, return_inverse=True)
+            pair, n = np.unique(code[at] * len(own) + code[at + 1], return_counts=True)
+            for a in range(0, len(pair), HELD_ROWS):
+                some = pair[a:a + HELD_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own[some // len(own)]), pa.array(own[some % len(own)]),
+                     pa.array(n[a:a + HELD_ROWS])], names=["a", "b", "n"])
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
-            place, a, b = _adjacent(batch, row)
-            if len(a):
+            at, place, phrase = _adjacent(batch, row)
+            for a in range(0, len(at), HELD_ROWS):
+                some = at[a:a + HELD_ROWS]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(a), batch.column("block")[row].as_py())),
-                     pa.array(place), pa.array(a), pa.array(b)],
+                    [pa.array(np.full(len(some), batch.column("block")[row].as_py())),
+                     pa.array(place[some]), pa.array(phrase[some]), pa.array(phrase[some + 1])],
                     names=["block", "place", "a", "b"])
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences of the same block that a task holds, as one row; a block may have several."""
+    def flush(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, place, phrase = (np.concatenate([b.column(c).to_numpy() for b in held])
+                                for c in ("block", "place", "id"))
+        order = np.lexsort((place, block))
+        block, place, phrase = block[order], place[order], phrase[order]
+        edges = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+        for a, b in zip(edges, np.append(edges[1:], len(block))):
+            yield _related(int(block[a]), place[a:b], phrase[a:b])
+
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= 4 * HELD_ROWS:
+            yield from flush(held)
+            held, size = [], 0
+    if held:
+        yield from flush(held)
+
+
 def _regrouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
-            found = batch.column("found")[row].values
-            place, phrase = found.field("place").to_numpy(), found.field("id").to_numpy()
+            place = np.concatenate([np.cumsum(expanded(x, np.int32), dtype=np.int64)
+                                    for x in batch.column("steps")[row].as_py()])
+            phrase = np.concatenate([expanded(x, np.int64)
+                                     for x in batch.column("phrases")[row].as_py()])
             order = np.argsort(place)
-            step, phrase = _encoded(place[order], phrase[order])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block").slice(row, 1), _lists([step], pa.int32()),
-                 _lists([phrase], pa.int64())], names=["block", "step", "phrase"])
+            yield _related(batch.column("block")[row].as_py(), place[order], phrase[order])
 
 
-_RELATION = "block long, step array<int>, phrase array<long>"
+_RELATION = "block long, step binary, phrase binary"
 
 
 def _longer(relation: DataFrame, shorter: DataFrame, min_count: int) -> DataFrame:
@@ -191,9 +237,12 @@ def _longer(relation: DataFrame, shorter: DataFrame, min_count: int) -> DataFram
 def _extended(relation: DataFrame, phrases: DataFrame) -> DataFrame:
     """The relation of the longer phrases: a semi-join leaves the frequent ones."""
     wide = relation.mapInArrow(_occurrences, "block long, place long, a long, b long")
-    some = wide.join(phrases.select("a", "b", "id"), ["a", "b"]).groupBy("block").agg(
-        F.collect_list(F.struct("place", "id")).alias("found"))
-    return stored(some.mapInArrow(_regrouped, _RELATION), "phrase-relation")
+    some = wide.join(phrases.select("a", "b", "id"), ["a", "b"]).select("block", "place", "id")
+    parts = some.mapInArrow(_gathered, _RELATION).groupBy("block").agg(
+        F.collect_list(F.struct("step", "phrase")).alias("parts"))
+    return stored(parts.select("block", F.col("parts.step").alias("steps"),
+                               F.col("parts.phrase").alias("phrases"))
+                  .mapInArrow(_regrouped, _RELATION), "phrase-relation")
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -206,7 +255,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                         docs[text_col].cast("string").alias("text")).where("text is not null")
     blocks = stored(texts.mapInArrow(
         _blocks(block_bytes), "block long, lang string, words array<binary>, "
-                              "counts array<long>, line array<int>"), "phrase-blocks")
+                              "counts array<long>, line binary"), "phrase-blocks")
     counts = blocks.select("lang", F.inline(F.arrays_zip("words", "counts")))
     totals = stored(blocks.select("lang", F.aggregate(
         "counts", F.lit(0).cast("long"), lambda a, b: a + b).alias("n"))
@@ -220,7 +269,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     own = blocks.select("block", "lang", F.posexplode("words").alias("code", "word"))
     found = own.join(level.select("id", "lang", F.element_at("words", 1).alias("word")),
                      ["lang", "word"]).groupBy("block").agg(
-        F.collect_list(F.struct("code", "id")).alias("found"))
+        F.collect_list(F.struct("code", "id")).alias("found")).select(
+        "block", F.col("found.code").alias("codes"), F.col("found.id").alias("ids"))
     relation = stored(blocks.select("block", "line").join(found, "block").mapInArrow(
         _numbered, _RELATION), "phrase-relation")
     levels = [level]
