@@ -3,6 +3,11 @@
 Each stage takes ``(spark, docs, sf_dir)``; all but the last return the columns of ``documents``.
 Results are written as Parquet and read again between stages, so a lost executor costs the tasks
 of one stage at most.
+
+In every stage a null text counts as an empty one, which has no near copies and no personal data
+and packs to its end mark; null and repeated ids are rows of their own, equal texts are copies of
+each other whatever their ids, very long texts are processed as a whole, an empty table gives an
+empty result, and other columns are carried along by all stages but the last.
 """
 
 from __future__ import annotations
