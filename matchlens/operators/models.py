@@ -10,10 +10,7 @@ from multiprocessing.pool import ThreadPool
 from statistics import fmean, pstdev
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    NaiveBayes,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +23,7 @@ from matchlens.operators.boosting import (
     HistogramBoostingModel,
 )
 from matchlens.operators.cart import ExactTree, ExactTreeModel
+from matchlens.operators.forest import ForestSettings, UnlimitedForest, UnlimitedForestModel
 from matchlens.operators.logistic import LogisticModel, NewtonLogistic
 from matchlens.operators.metrics import overall_scores
 from matchlens.operators.neighbours import (
@@ -37,17 +35,14 @@ from matchlens.operators.neighbours import (
 
 @dataclass(frozen=True)
 class ModelSettings:
-    """Hyperparameters. Spark caps tree depth at 30; 15 stands in for unlimited depth."""
+    """Hyperparameters. Forests have no depth limit."""
 
     tree_depth: int = 12
     forest_trees: int = 300
-    forest_depth: int = 15
-    forest_bins: int = 64
     iterations: int = 1000
     penalty: float = 1.0
     neighbours: int = 25
     boosting: BoostingSettings = BoostingSettings()
-    memory_mb: int = 1024
     seed: int = config.SEED
 
 
@@ -94,7 +89,8 @@ class NearestNeighboursModel(Model):
 
 
 # Models of this library by display name; the others are Spark's pipelines.
-OWN_MODELS = {config.DECISION_TREE: ExactTreeModel, config.LOGISTIC_REGRESSION: LogisticModel,
+OWN_MODELS = {config.DECISION_TREE: ExactTreeModel, config.RANDOM_FOREST: UnlimitedForestModel,
+              config.LOGISTIC_REGRESSION: LogisticModel,
               config.NEAREST_NEIGHBOURS: NearestNeighboursModel,
               config.GRADIENT_BOOSTING: HistogramBoostingModel}
 
@@ -118,20 +114,14 @@ def build_models(features: Sequence[str], label: str = config.LABEL, key: str =
     features = list(features)
     assemble = VectorAssembler(inputCols=features, outputCol="vector")
     scale = StandardScaler(inputCol="vector", outputCol="scaled", withMean=True, withStd=True)
-    seed = settings.seed
-
-    def raw(classifier):
-        return Pipeline(stages=[assemble, classifier])
 
     def scaled(classifier):
         return Pipeline(stages=[assemble, scale, classifier])
 
     return {
         config.DECISION_TREE: ExactTree(features, label, settings.tree_depth),
-        config.RANDOM_FOREST: raw(RandomForestClassifier(
-            featuresCol="vector", labelCol=label, numTrees=settings.forest_trees,
-            maxDepth=settings.forest_depth, maxBins=settings.forest_bins,
-            featureSubsetStrategy="sqrt", maxMemoryInMB=settings.memory_mb, seed=seed)),
+        config.RANDOM_FOREST: UnlimitedForest(features, label, key, ForestSettings(
+            trees=settings.forest_trees, seed=settings.seed)),
         config.NAIVE_BAYES: scaled(NaiveBayes(
             featuresCol="scaled", labelCol=label, modelType="gaussian")),
         config.LOGISTIC_REGRESSION: NewtonLogistic(features, label, 1 / settings.penalty,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,12 +37,9 @@ LINE_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 CORRELATED = (*config.FEATURE_COLUMNS, config.LABEL)
 
 # The whole comparison needs 72 fits at the library's defaults. Its registered queries train on the
-# same rows with smaller forests, fewer boosting rounds and two folds; the predictions of a single
-# model have smaller forests only.
-SMALL_MODELS = models.ModelSettings(
-    forest_trees=20, forest_depth=10, forest_bins=32, boosting=BoostingSettings(rounds=5))
-ONE_MODEL = replace(SMALL_MODELS, boosting=BoostingSettings())
-SMALL_FOREST = {"trees": 20, "depth": 10, "bins": 32}
+# same rows with fewer boosting rounds and two folds; the predictions of a single model have the
+# full settings.
+SMALL_MODELS = models.ModelSettings(boosting=BoostingSettings(rounds=5))
 FOLDS = 2
 
 
@@ -239,7 +235,7 @@ def selected_flags(spark, sf_dir):
 
 
 def combined_importance(spark, sf_dir):
-    return study.feature_importance(staged_modelling_frame(spark, sf_dir), **SMALL_FOREST)
+    return study.feature_importance(staged_modelling_frame(spark, sf_dir))
 
 
 # Split
@@ -283,7 +279,7 @@ def _split_matches(spark, sf_dir):
 def _match_predictions(name: str) -> Query:
     def query(spark, sf_dir):
         train, test = _split_matches(spark, sf_dir)
-        model = models.build_models(config.FEATURE_COLUMNS, settings=ONE_MODEL)[name]
+        model = models.build_models(config.FEATURE_COLUMNS)[name]
         predicted = model.fit(train).transform(test)
         return predicted.select(KEY, config.LABEL, F.col("prediction").cast("int"))
     return query
@@ -376,7 +372,7 @@ def _comparison(spark, sf_dir):
     """The results, written once per application: three queries look at them."""
     def build():
         frame = staged_modelling_frame(spark, sf_dir)
-        selected, _ = study.select_features(frame, **SMALL_FOREST)
+        selected, _ = study.select_features(frame)
         outcome = study.compare_models(frame, selected, settings=SMALL_MODELS, folds=FOLDS)
         outcome.release()
         return outcome.results

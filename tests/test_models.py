@@ -13,9 +13,9 @@ from matchlens.session import new_shared_path
 from matchlens.sources.staging import staged_matches, staged_modelling_frame
 from matchlens.sources.tables import load_tables
 
-TINY = models.ModelSettings(tree_depth=4, forest_trees=10, forest_depth=4, forest_bins=32,
-                            neighbours=15, boosting=BoostingSettings(rounds=4))
-FOREST = {"trees": 10, "depth": 4, "bins": 32}
+TINY = models.ModelSettings(tree_depth=4, forest_trees=10, neighbours=15,
+                            boosting=BoostingSettings(rounds=4))
+FOREST = {"trees": 10}
 
 
 @pytest.fixture(scope="module")
@@ -50,7 +50,7 @@ def test_importance_is_repeatable_and_sums_to_one(parts):
     assert sum(runs[0].values()) == pytest.approx(1.0)
 
 
-@pytest.mark.parametrize("name", [config.LOGISTIC_REGRESSION, config.NEAREST_NEIGHBOURS,
+@pytest.mark.parametrize("name", [config.RANDOM_FOREST, config.LOGISTIC_REGRESSION, config.NEAREST_NEIGHBOURS,
                                   config.GRADIENT_BOOSTING])
 def test_saved_model_predicts_the_same(spark, parts, name):
     train, test = parts
