@@ -356,6 +356,42 @@ _FOLDS = f"""{_F},
     SELECT {_KEY}, {_LABEL}, CAST(fold AS INTEGER) AS fold FROM hash_order JOIN ends USING ({_LABEL})
     WHERE hash_rank <= upto AND hash_rank > upto - taken"""
 
+_DIFFERENCES = ", ".join(f"'{c}'" for c in config.FEATURE_COLUMNS if c.endswith("_diff"))
+_FOLD_ACCURACY = f"""{_FOLDS.replace(f"SELECT {_KEY}, {_LABEL}, CAST(fold AS INTEGER)",
+                                     f", folded AS (SELECT {_KEY}, CAST(fold AS INTEGER)")}),
+    sets AS (SELECT '{config.ALL_FEATURES}' AS feature_set UNION ALL SELECT 'differences'),
+    long AS MATERIALIZED (SELECT feature_set, fold, {_KEY} AS row_key, {_LABEL} AS class_code,
+      feature, v FROM (SELECT * FROM (UNPIVOT modelling ON {', '.join(config.FEATURE_COLUMNS)}
+                                      INTO NAME feature VALUE v)) JOIN folded USING ({_KEY}), sets
+      WHERE feature_set = '{config.ALL_FEATURES}' OR feature IN ({_DIFFERENCES})),
+    held AS (SELECT unnest(range(5)) AS out),
+    scaling AS (SELECT feature_set, out, feature, avg(v) AS m, stddev_samp(v) AS s, var_pop(v) AS vp
+                FROM long, held WHERE fold <> out GROUP BY ALL),
+    smoothing AS (SELECT feature_set, out, 1e-9 * max(vp / (s * s)) AS eps FROM scaling WHERE s > 0
+                  GROUP BY ALL),
+    shape AS (SELECT feature_set, out, feature, class_code, avg((v - m) / s) AS cm,
+                     var_pop((v - m) / s) + any_value(eps) AS cv, count(*) AS n
+              FROM (SELECT * FROM long, held WHERE fold <> out)
+              JOIN scaling USING (feature_set, out, feature)
+              JOIN smoothing USING (feature_set, out) WHERE s > 0
+              GROUP BY feature_set, out, feature, class_code),
+    prior AS (SELECT feature_set, out, class_code, ln(any_value(n)) AS lp FROM shape GROUP BY ALL),
+    scored AS (SELECT t.feature_set, t.fold, t.row_key, any_value(t.class_code) AS actual,
+                      p.class_code, any_value(lp) - 0.5 * sum(ln(2 * pi() * cv)
+                        + ((v - m) / s - cm) * ((v - m) / s - cm) / cv) AS ll
+               FROM long t JOIN scaling c ON c.feature_set = t.feature_set AND c.out = t.fold
+                                         AND c.feature = t.feature
+               JOIN shape p ON p.feature_set = t.feature_set AND p.out = t.fold
+                           AND p.feature = t.feature
+               JOIN prior q ON q.feature_set = t.feature_set AND q.out = t.fold
+                           AND q.class_code = p.class_code
+               GROUP BY t.feature_set, t.fold, t.row_key, p.class_code),
+    voted AS (SELECT feature_set, fold, row_key, any_value(actual) AS actual,
+                     arg_max(class_code, ll) AS guess FROM scored GROUP BY ALL),
+    fold_accuracy AS (SELECT feature_set, fold, count(*) AS row_count,
+                             avg(CASE WHEN guess = actual THEN 1e0 ELSE 0e0 END) AS accuracy
+                      FROM voted GROUP BY ALL)"""
+
 _MATCH_TYPES = {_KEY: "bigint"} | {
     c: "string" if c in config.STRING_COLUMNS else "double" for c in config.RAW_COLUMNS}
 _DOCUMENT_TYPES = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string",
@@ -447,6 +483,11 @@ def sql() -> dict[str, str]:
         "stratified_split_embeddings": f"""{_with(_EMBEDDING_SPLIT)}
             SELECT vec_id, label, is_test FROM split""",
         "stratified_folds": _FOLDS,
+        "naive_bayes_folds": f"""{_FOLD_ACCURACY} SELECT feature_set, fold, row_count,
+            {_round('accuracy', 9)} AS accuracy FROM fold_accuracy""",
+        "naive_bayes_cv": f"""{_FOLD_ACCURACY} SELECT feature_set,
+            {_round('avg(accuracy)', 9)} AS cv_mean, {_round('stddev_pop(accuracy)', 9)} AS cv_std
+            FROM fold_accuracy GROUP BY feature_set""",
         "hashed_split": f"""{_F} SELECT {_KEY},
             CAST('0x' || substr(md5(CAST({_KEY} AS VARCHAR)), 1, 8) AS BIGINT)
               < {int(config.TEST_SHARE * 16 ** 8)} AS is_test FROM modelling""",

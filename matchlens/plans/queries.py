@@ -12,6 +12,7 @@ from matchlens.functions.numeric import half_even
 from matchlens.functions.outcome import class_name
 from matchlens.operators import (
     correlation,
+    crossfold,
     distribution,
     metrics,
     models,
@@ -302,6 +303,25 @@ def _embedding_predictions(name: str) -> Query:
     return query
 
 
+def _naive_bayes_folds(spark, sf_dir):
+    """Accuracy of each of five folds with all features and with the differences alone."""
+    folded = staged(spark, "folds", sf_dir,
+                    lambda: split.mark_folds(staged_modelling_frame(spark, sf_dir)))
+    return crossfold.naive_bayes_folds(folded, {
+        config.ALL_FEATURES: config.FEATURE_COLUMNS,
+        "differences": [c for c in config.FEATURE_COLUMNS if c.endswith("_diff")]})
+
+
+def naive_bayes_folds(spark, sf_dir):
+    return _round(_naive_bayes_folds(spark, sf_dir), ["accuracy"], 9)
+
+
+def naive_bayes_cv(spark, sf_dir):
+    """Mean and population deviation over the folds."""
+    return _round(crossfold.fold_summary(_naive_bayes_folds(spark, sf_dir)),
+                  ["cv_mean", "cv_std"], 9)
+
+
 def logistic_certificate(spark, sf_dir):
     """The derivative of the penalised loss at the fitted model: 0 marks the only optimum."""
     train, _ = _split_matches(spark, sf_dir)
@@ -421,7 +441,7 @@ def registered() -> dict[str, Query]:
         retention_funnel, scaled_features, anova_f_scores, anova_f_embeddings, minmax_ranking,
         top_k_features, selected_flags, combined_importance, stratified_split,
         stratified_split_counts, stratified_split_embeddings, stratified_folds, hashed_split,
-        logistic_certificate, model_round_trip, confusion_matrix, classification_report, overall_scores,
+        naive_bayes_folds, naive_bayes_cv, logistic_certificate, model_round_trip, confusion_matrix, classification_report, overall_scores,
         rule_accuracy_pivot, best_rule, model_comparison, accuracy_pivot, best_model, csv_round_trip, result_table_round_trip,
     )
     return {query.__name__: query for query in plain} | {
