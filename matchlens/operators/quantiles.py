@@ -1,143 +1,107 @@
-"""Exact quantiles with linear interpolation, without sorting a whole column in one task.
+"""Exact quantiles with linear interpolation by radix selection; no value is sorted or exchanged.
 
-The interval that can hold a wanted rank is narrowed with Spark's mergeable quantile sketch and
-verified by counting. Only when few rows are left inside it are they sorted. What reaches the
-driver is a handful of numbers per column. The input is read several times: pass a table.
+A double becomes a 64-bit integer of the same order. A scan counts, for every column at once, how
+many values share each choice of the next leading bits; the counts tell which choice holds a wanted
+rank, and the next scan looks inside that one only. Five scans of 13 bits settle all bits, for any
+data. What moves are histograms of a fixed size, at most two per column and probability. The input
+is read once per scan: pass a table.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
 from matchlens.functions import text
+from matchlens.operators.partial_sums import summed
 
-SORT_ROWS = 100_000
+BITS = 13  # settled by one scan
 SKETCH_ACCURACY = 10_000
+_SIGN = np.uint64(1 << 63)
 
 
-@dataclass(frozen=True)
-class _Interval:
-    """Closed value range of a column: ``below`` rows lie under it, ``inside`` rows in it."""
+def _value(column: str) -> str:
+    return f"CAST({text.name(column)} AS DOUBLE)"
 
-    column: str
-    low: float | None
-    high: float | None
-    below: int
-    inside: int
-    settled: bool = False
 
-    def value(self) -> str:
-        """The column's value where it lies in the range, otherwise NULL."""
-        value = _value(self.column)
-        if self.low is None:
-            return value
-        return (f"CASE WHEN {value} BETWEEN {text.double(self.low)} AND {text.double(self.high)} "
-                f"THEN {value} END")
+def ordered_bits(values: np.ndarray) -> np.ndarray:
+    """Unsigned integers in the order of the doubles; both zeros are one, NaN is the greatest."""
+    bits = np.where(np.isnan(values), np.nan, values + 0.0).view(np.uint64)
+    return np.where(bits & _SIGN, ~bits, bits | _SIGN)
 
 
-def _value(column: str) -> str:
-    return f"CAST({text.name(column)} AS DOUBLE)"
+def double_of(bits: int) -> float:
+    raw = np.uint64(bits)
+    return float(np.array([raw ^ _SIGN if raw & _SIGN else ~raw]).view(np.float64)[0])
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                    sort_rows: int = SORT_ROWS, accuracy: int = SKETCH_ACCURACY,
-                    ) -> dict[str, list[float | None]]:
-    """Quantiles of the non-null values of each column; ``None`` where there are none."""
+                    bits: int = BITS) -> dict[str, list[float | None]]:
+    """Quantiles of the non-null values of each column; ``None`` where there are none. NaN counts
+    as the greatest value. ``bits`` trades scans for the size of a histogram."""
     columns = list(columns)
-    if not columns:
-        return {}
-    totals = df.selectExpr(*[f"count({text.name(c)}) AS n{i}"
-                             for i, c in enumerate(columns)]).first()
-    ranks: dict[tuple[str, float], tuple[int, int, float]] = {}
-    holding: dict[tuple[str, float], _Interval] = {}
-    for i, column in enumerate(columns):
-        total = totals[f"n{i}"]
-        for p in probabilities if total else ():
-            place = (total - 1) * p
-            ranks[column, p] = (math.floor(place), math.ceil(place), place - math.floor(place))
-            holding[column, p] = _Interval(column, None, None, 0, total)
-    while True:
-        wide = {target: box for target, box in holding.items()
-                if box.inside > sort_rows and not box.settled}
-        if not wide:
-            break
-        holding.update(_narrow(df, wide, ranks, accuracy))
-    values = _values_at(df, holding, ranks)
+    if not columns or not probabilities:
+        return {c: [] for c in columns}
+    numbers = df.selectExpr(*[f"{_value(c)} AS c{i}" for i, c in enumerate(columns)])
+    # (column, rank) to the leading bits found so far and the rank among the values that share them
+    held: dict[tuple[int, int], tuple[int, int]] = {}
+    sizes = [0] * len(columns)
+    left = 64
+    while left:
+        width = min(bits, left)
+        first, left = left == 64, left - width
+        inside = [[0] if first else sorted({prefix for (c, _), (prefix, _) in held.items()
+                                            if c == i}) for i in range(len(columns))]
+        counts = summed(numbers, _histograms(inside, width, left))
+        if first:
+            for i, _ in enumerate(columns):
+                sizes[i] = int(counts[f"{i}:0"].sum()) if f"{i}:0" in counts else 0
+                for p in probabilities if sizes[i] else ():
+                    place = (sizes[i] - 1) * p
+                    for rank in (math.floor(place), math.ceil(place)):
+                        held[i, rank] = (0, rank)
+        for (i, rank), (prefix, among) in held.items():
+            upto = np.cumsum(counts[f"{i}:{prefix}"])
+            digit = int(np.searchsorted(upto, among, "right"))
+            before = int(upto[digit - 1]) if digit else 0
+            held[i, rank] = (prefix << width | digit, among - before)
     result: dict[str, list[float | None]] = {}
-    for column in columns:
+    for i, column in enumerate(columns):
         result[column] = []
         for p in probabilities:
-            if (column, p) not in ranks:
+            if not sizes[i]:
                 result[column].append(None)
                 continue
-            low_rank, high_rank, share = ranks[column, p]
-            low, high = values[column, low_rank], values[column, high_rank]
-            result[column].append(low + (high - low) * share)
+            place = (sizes[i] - 1) * p
+            low, high = (double_of(held[i, rank][0])
+                         for rank in (math.floor(place), math.ceil(place)))
+            share = place - math.floor(place)
+            result[column].append(low + (high - low) * share if share else low)
     return result
 
 
-def _narrow(df, wide, ranks, accuracy):
-    """One sketch pass and one counting pass over all intervals that are still too wide."""
-    targets = list(wide)
-    slack = 2.0 / accuracy
-    sketches = []
-    for i, target in enumerate(targets):
-        box, (low_rank, high_rank, _) = wide[target], ranks[target]
-        start = max(0.0, (low_rank - box.below) / box.inside - slack)
-        end = min(1.0, (high_rank + 1 - box.below) / box.inside + slack)
-        sketches.append(f"percentile_approx({box.value()}, array({text.double(start)}, "
-                        f"{text.double(end)}), {accuracy}) AS s{i}")
-    bounds = df.selectExpr(*sketches).first()
-    counts = []
-    for i, (column, _) in enumerate(targets):
-        value, (low, high) = _value(column), map(text.double, bounds[f"s{i}"])
-        counts += [f"count_if({value} < {low}) AS b{i}",
-                   f"count_if({value} BETWEEN {low} AND {high}) AS i{i}"]
-    found = df.selectExpr(*counts).first()
-    narrowed = {}
-    for i, target in enumerate(targets):
-        box, (low_rank, high_rank, _) = wide[target], ranks[target]
-        (low, high), below, inside = bounds[f"s{i}"], found[f"b{i}"], found[f"i{i}"]
-        holds = below <= low_rank and high_rank < below + inside
-        if holds and inside < box.inside:
-            narrowed[target] = _Interval(target[0], low, high, below, inside, low == high)
-        else:
-            # The sketch cannot cut further: sort what is left, which is slower but still exact.
-            narrowed[target] = replace(box, settled=True)
-    return narrowed
-
-
-def _values_at(df, holding, ranks):
-    """Values at the wanted ranks. Equal values are counted before anything is sorted."""
-    if not holding:
-        return {}
-    boxes = list(dict.fromkeys(holding.values()))
-    slots = [f"s{i}" for i in range(len(boxes))]
-    cells = ", ".join(f"'{slot}', {box.value()}" for slot, box in zip(slots, boxes))
-    counted = (df.selectExpr(f"stack({len(boxes)}, {cells}) AS (slot, value)")
-               .filter("value IS NOT NULL")
-               .groupBy("slot", "value").agg(F.count(F.lit(1)).alias("copies")))
-    by_value = Window.partitionBy("slot").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    wanted: dict[str, set[int]] = {}
-    for target, box in holding.items():
-        wanted.setdefault(slots[boxes.index(box)], set()).update(
-            rank - box.below for rank in ranks[target][:2])
-    hits = [f"slot = '{slot}' AND upto - copies <= {place} AND {place} < upto"
-            for slot, places in wanted.items() for place in sorted(places)]
-    placed = counted.withColumn("upto", F.sum("copies").over(by_value))
-    values = {}
-    for row in placed.filter(" OR ".join(f"({hit})" for hit in hits)).collect():
-        box = boxes[slots.index(row["slot"])]
-        for place in wanted[row["slot"]]:
-            if row["upto"] - row["copies"] <= place < row["upto"]:
-                values[box.column, place + box.below] = row["value"]
-    return values
+def _histograms(inside: Sequence[Sequence[int]], width: int, left: int):
+    """Per column and prefix, the counts of the next ``width`` bits; ``left`` bits follow them."""
+
+    def partial(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        found = {}
+        for i, prefixes in enumerate(inside):
+            values = ordered_bits(batch.column(i).drop_null().to_numpy())
+            if not len(values):
+                continue
+            values = values >> np.uint64(left)
+            digits = (values & np.uint64((1 << width) - 1)).astype(np.int64)
+            leading = values >> np.uint64(width) if left + width < 64 else np.zeros_like(values)
+            for prefix in prefixes:
+                found[f"{i}:{prefix}"] = np.bincount(
+                    digits[leading == np.uint64(prefix)], minlength=1 << width)
+        return found
+
+    return partial
 
 
 def approximate_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],

@@ -66,19 +66,33 @@ def test_outliers(spark):
     assert tuple(rows["c"])[1:] == (None, None, 0, None)
 
 
-@pytest.mark.parametrize("sort_rows", [10, 1000, 10 ** 6])
-def test_quantiles_match_numpy(spark, sort_rows):
+@pytest.mark.parametrize("bits", [8, 13, 16])
+def test_quantiles_match_numpy(spark, bits):
     generator = np.random.default_rng(7)
     skewed = np.exp(generator.normal(size=3000) * 3)
     crowded = np.where(generator.random(3000) < 0.4, 5.0, generator.integers(0, 50, 3000) * 1.0)
     df = frame(spark, [(float(a), float(b)) for a, b in zip(skewed, crowded)],
                "a double, b double")
     shares = (0.0, 0.25, 0.5, 0.75, 0.99, 1.0)
-    found = quantiles.exact_quantiles(df, ["a", "b"], shares, sort_rows=sort_rows, accuracy=200)
+    found = quantiles.exact_quantiles(df, ["a", "b"], shares, bits)
     for column, values in (("a", skewed), ("b", crowded)):
         assert found[column] == pytest.approx(np.quantile(values, shares).tolist(), rel=1e-12)
 
 
+def test_quantiles_of_odd_values(spark):
+    inf, nan = float("inf"), float("nan")
+    df = frame(spark, [(-0.0, None, 1.0, inf), (0.0, None, nan, -inf), (-5e-324, None, -1.0, 1e308),
+                       (5e-324, None, -nan, -1e308)], "a double, b double, c double, d double")
+    found = quantiles.exact_quantiles(df.repartition(3), "abcd", (0.0, 1 / 3, 2 / 3, 1.0))
+    assert found["a"] == [-5e-324, 0.0, 0.0, 5e-324] and found["b"] == [None] * 4
+    assert found["c"][:2] == [-1.0, 1.0] and np.isnan(found["c"][2:]).all()
+    assert found["d"] == [-inf, -1e308, 1e308, inf]
+    assert quantiles.exact_quantiles(df.where("false"), "a", (0.5,)) == {"a": [None]}
+    bits = quantiles.ordered_bits(np.array([-inf, -1.5, -0.0, 0.0, 2.5, inf, nan]))
+    assert (np.diff(bits.astype(object)) >= 0).all() and bits[2] == bits[3]
+    assert [quantiles.double_of(b) for b in bits[[0, 1, 4]]] == [-inf, -1.5, 2.5]
+
+
 def test_profile_counts_nulls_and_distinct(spark):
     df = frame(spark, [("a", 0.0), ("a", -0.0), (None, 1.5)], "s string, d double")
     for exact in (True, False):
