@@ -521,4 +521,10 @@ def sql() -> dict[str, str]:
             ORDER BY accuracy DESC, CASE algorithm WHEN 'shots_diff' THEN 1
               WHEN 'shots_target_diff' THEN 2 ELSE 3 END LIMIT 1""",
         "csv_round_trip": f"{_M} SELECT * FROM matches",
+        # the season is a year, written with digits alone
+        "csv_inferred": f"{_M} SELECT * REPLACE (CAST(season AS BIGINT) AS season) FROM matches",
+        "csv_inferred_types": """SELECT column_name, CASE
+            WHEN column_type IN ('BIGINT', 'INTEGER') THEN 'bigint'
+            WHEN column_type = 'DOUBLE' THEN 'double' ELSE 'string' END AS data_type
+            FROM (DESCRIBE orders)""",
     }

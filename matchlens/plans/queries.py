@@ -25,7 +25,7 @@ from matchlens.operators import (
 from matchlens.operators.boosting import BoostingSettings
 from matchlens.plans import study
 from matchlens.session import new_shared_path
-from matchlens.sources.csv import read_matches
+from matchlens.sources.csv import read_inferred, read_matches
 from matchlens.sources.matches import table
 from matchlens.sources.staging import staged, staged_matches, staged_modelling_frame
 from matchlens.sources.tables import load_tables, save_table
@@ -423,6 +423,19 @@ def csv_round_trip(spark, sf_dir):
     return read_matches(spark, path, keys=(KEY,))
 
 
+def csv_inferred(spark, sf_dir):
+    """The raw table, written as CSV and scanned without a declared schema."""
+    path = save_table(staged_matches(spark, sf_dir), new_shared_path(spark, "csv"), "matches")
+    return read_inferred(spark, path, escape="\\")
+
+
+def csv_inferred_types(spark, sf_dir):
+    """The types found in the CSV form of the orders."""
+    path = save_table(table(spark, sf_dir, "orders"), new_shared_path(spark, "csv"), "orders")
+    return spark.createDataFrame(read_inferred(spark, path, escape="\\").dtypes,
+                                 "column_name string, data_type string")
+
+
 def result_table_round_trip(spark, sf_dir):
     folder = new_shared_path(spark, "tables")
     save_table(missing_report(spark, sf_dir), folder, "missing_report")
@@ -442,7 +455,8 @@ def registered() -> dict[str, Query]:
         top_k_features, selected_flags, combined_importance, stratified_split,
         stratified_split_counts, stratified_split_embeddings, stratified_folds, hashed_split,
         naive_bayes_folds, naive_bayes_cv, logistic_certificate, model_round_trip, confusion_matrix, classification_report, overall_scores,
-        rule_accuracy_pivot, best_rule, model_comparison, accuracy_pivot, best_model, csv_round_trip, result_table_round_trip,
+        rule_accuracy_pivot, best_rule, model_comparison, accuracy_pivot, best_model, csv_round_trip,
+        csv_inferred, csv_inferred_types, result_table_round_trip,
     )
     return {query.__name__: query for query in plain} | {
         "tree_predictions": _match_predictions(config.DECISION_TREE),

@@ -1,4 +1,4 @@
-"""CSV scan of the raw match table."""
+"""CSV scan of the raw match table, with a declared schema or with inferred types."""
 
 from __future__ import annotations
 
@@ -16,6 +16,9 @@ MISSING_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+_INTEGER = "^[+-]?[0-9]+$"
+_NUMBER = "(?i)^[+-]?([0-9]+[.]?[0-9]*(e[+-]?[0-9]+)?|[.][0-9]+(e[+-]?[0-9]+)?|inf|infinity)$"
+
 
 def read_matches(spark: SparkSession, path: str,
                  columns: Sequence[str] = config.RAW_COLUMNS,
@@ -34,8 +37,51 @@ def read_matches(spark: SparkSession, path: str,
                         for c in (*keys, *columns)])
 
 
-def _typed(column: str, kind: str) -> Column:
-    value = text.name(column)
+def infer_types(raw: DataFrame) -> dict[str, str]:
+    """``bigint``, ``double`` or ``string`` for each text column, in one aggregation.
+
+    A value's kind is empty, integer, number or text, and a column's kind is the greatest of its
+    values', so tasks merge a few numbers per column. A column of integers with gaps is double, and
+    so is one without any value; integers beyond 64 bits make a column double. A number is written
+    with digits, at most one point and an exponent, or is an infinity; blanks around it do not
+    matter.
+    """
+    if not raw.columns:
+        return {}
+    measures = []
+    for i, c in enumerate(raw.columns):
+        kept, value = _kept(c), f"trim({text.name(c)})"
+        kind = (f"CASE WHEN {kept} IS NULL THEN 0 "
+                f"WHEN {value} RLIKE '{_INTEGER}' AND try_cast({value} AS BIGINT) IS NOT NULL THEN 1 "
+                f"WHEN {value} RLIKE '{_NUMBER}' THEN 2 ELSE 3 END")
+        measures += [f"max({kind}) AS k{i}", f"min({kind}) AS g{i}"]
+    found = raw.selectExpr(*measures).first()
+    types = {}
+    for i, c in enumerate(raw.columns):
+        greatest, least = found[f"k{i}"] or 0, found[f"g{i}"] or 0
+        types[c] = "string" if greatest == 3 else "bigint" if greatest == least == 1 else "double"
+    return types
+
+
+def read_inferred(spark: SparkSession, path: str, escape: str = '"') -> DataFrame:
+    """Read CSV files with a header; names come from the header, types from all values.
+
+    The missing-value tokens become NULL. The files are read once more for the types and stay
+    splittable, so a quoted field must not hold a line break. Without any row, columns are doubles.
+    Inside quotes a quote is doubled; ``escape="\\\\"`` reads files that Spark wrote.
+    """
+    raw = spark.read.csv(path, header=True, inferSchema=False, encoding="UTF-8",
+                         escape=escape)
+    types = infer_types(raw)
+    return raw.select(*[_typed(c, types[c]).alias(c) for c in raw.columns])
+
+
+def _kept(column: str) -> str:
     tokens = ", ".join(text.string(t) for t in MISSING_TOKENS)
-    kept = f"CASE WHEN {value} NOT IN ({tokens}) THEN {value} END"
+    value = text.name(column)
+    return f"CASE WHEN {value} NOT IN ({tokens}) THEN {value} END"
+
+
+def _typed(column: str, kind: str) -> Column:
+    kept = _kept(column)
     return F.expr(kept if kind == "string" else f"try_cast({kept} AS {kind})")

@@ -156,6 +156,19 @@ def test_class_never_predicted(spark):
     assert metrics.macro_f1(df).first()[0] == pytest.approx((2 / 3 + 0 + 1) / 3)
 
 
+def test_density_far_from_the_values(spark):
+    """Values that reach few grid points; the whole sum is the reference."""
+    values = np.concatenate([np.linspace(0, 1, 40_000), [50.0]])
+    df = spark.createDataFrame([(1, float(v)) for v in values], "result int, v double")
+    rows = distribution.class_density(df, "v").collect()
+    width = values.std(ddof=1) * len(values) ** -0.2
+    assert len(rows) == 200 and 18 * width < 0.2 * 50
+    for r in rows[::7]:
+        scaled = (r["x"] - values) / width
+        density = np.exp(-0.5 * scaled ** 2).sum() / len(values) / width / np.sqrt(2 * np.pi)
+        assert r["density"] == pytest.approx(density, rel=1e-9, abs=1e-15)
+
+
 def test_density_integrates_to_one(spark):
     df = spark.range(500).select((F.col("id") % 3).cast("int").alias("result"),
                                  (F.sin("id") + 0.001 * F.col("id")).alias("v"))

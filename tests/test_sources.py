@@ -2,7 +2,7 @@ import pytest
 
 from matchlens import config
 from matchlens.session import new_shared_path
-from matchlens.sources.csv import MISSING_TOKENS, read_matches
+from matchlens.sources.csv import MISSING_TOKENS, read_inferred, read_matches
 from matchlens.sources.matches import matches
 from matchlens.sources.staging import staged_matches
 from matchlens.sources.tables import load_tables, save_table
@@ -46,3 +46,27 @@ def test_tables_are_replaced_and_read_back(spark):
                                                "null_pct double"), folder, "missing_report")
     loaded = load_tables(spark, folder, ["missing_report"])["missing_report"]
     assert [tuple(r) for r in loaded.collect()] == [("c", 3, 70.5)]
+
+
+def test_types_are_inferred(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.csv").write_text(
+        'whole,gaps,number,text,nothing,wide,odd`name,"quoted, name"\n'
+        '1,2,1.5,1,NA,99999999999999999999,inf,"a,b"\n'
+        '-3,null,.5e3, x,,1,-Infinity,"say ""1"""\n')
+    (tmp_path / "t" / "b.csv").write_text(
+        'whole,gaps,number,text,nothing,wide,odd`name,"quoted, name"\n'
+        '+7,5,NaN,1d,None,2,3.,N/A\n')
+    df = read_inferred(spark, str(tmp_path / "t"))
+    assert [kind for _, kind in df.dtypes] == [
+        "bigint", "double", "double", "string", "double", "double", "double", "string"]
+    inf = float("inf")
+    assert sorted(map(tuple, df.collect())) == [
+        (-3, None, 500.0, " x", None, 1.0, -inf, 'say "1"'),
+        (1, 2.0, 1.5, "1", None, 1e20, inf, "a,b"), (7, 5.0, None, "1d", None, 2.0, 3.0, None)]
+
+
+def test_types_of_no_rows(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("a,b\n")
+    df = read_inferred(spark, str(tmp_path / "e.csv"))
+    assert df.dtypes == [("a", "double"), ("b", "double")] and df.count() == 0
