@@ -38,10 +38,10 @@ LINE_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 CORRELATED = (*config.FEATURE_COLUMNS, config.LABEL)
 
 # The whole comparison needs 72 fits at the library's defaults. Its registered queries train on the
-# same rows with fewer boosting rounds and two folds; the predictions of a single model have the
+# same rows with fewer boosting rounds; the predictions of a single model have the
 # full settings.
 SMALL_MODELS = models.ModelSettings(boosting=BoostingSettings(rounds=5))
-FOLDS = 2
+FOLDS = config.CV_FOLDS
 
 
 def _round(df: DataFrame, columns, digits: int) -> DataFrame:
