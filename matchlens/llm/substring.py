@@ -23,7 +23,7 @@ from matchlens.llm.columns import pieces_by_bytes, stored
 
 WINDOW = 13
 INNER = 5
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def _windows(batch: pa.RecordBatch, window: int):
