@@ -1,6 +1,7 @@
 """Each operator against a plain version of itself, odd rows and empty tables included."""
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -403,6 +404,111 @@ def test_base_spans():
     assert pii.base_spans("7" * 500_000) == []  # in linear time
 
 
+# The patterns as they are stated, which the operator finds by other means in linear time.
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+         "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
+         "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def plain_spans(text):
+    def valid(kind, match):
+        digits = [int(c) for c in match if c in "0123456789"]
+        if kind == "ip":
+            return all(int(part) <= 255 for part in match.split("."))
+        if kind == "phone":
+            return 9 <= len(digits) <= 15
+        doubled = [sum(divmod(2 * d, 10)) for d in digits[-2::-2]]
+        return kind == "email" or (13 <= len(digits) <= 19
+                                   and (sum(doubled) + sum(digits[-1::-2])) % 10 == 0)
+
+    return [(kind, m.start(), m.end()) for kind, pattern in PLAIN.items()
+            for m in re.finditer(pattern, text or "") if valid(kind, m[0])]
+
+
+def listed(spans):
+    return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
+
+
+def test_base_spans_are_those_of_the_plain_patterns(spark, sf_dir, odd_docs, odd_rows):
+    draw = np.random.default_rng(11)
+    for length in draw.integers(1, 60, 4000):
+        text = "".join(draw.choice(list("@@..++--0123459 ()_%aZé\n"), length))
+        assert pii.base_spans(text) == plain_spans(text), text
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    for frame in (docs, odd_docs):
+        expected = []
+        for doc_id, text in frame.select("doc_id", "text").collect():
+            spans = plain_spans(text)
+            counts = [sum(s[0] == kind for s in spans) for kind in PLAIN]
+            expected.append((doc_id, *counts, hashlib.sha256(listed(spans).encode()).hexdigest()))
+        found = pii.digests(frame).select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                                          "base_sha256")
+        assert rows_of(found) == sorted(expected, key=repr)
+
+
+def plain_additions(texts):
+    """The bootstrapping with dictionaries: per text, what reliable contexts add."""
+    forms = {kind: re.compile(form) for kind, form in pii.FORMS.items()}
+    seen = [pii.instances(text, pii.base_spans(text)) for text in texts]
+    edges, seeds = {}, {}  # pattern -> value -> kind or None
+    for one in (i for some in seen for i in some):
+        for pattern in one["patterns"]:
+            kinds = edges.setdefault(pattern, {})
+            kinds[one["value"]] = max(kinds.get(one["value"]) or "", one["kind"] or "") or None
+            if kinds[one["value"]]:
+                seeds[one["value"], kinds[one["value"]]] = 1.0
+    scores, kept = dict(seeds), {}
+    for _ in range(pii.ROUNDS):
+        kept = {}
+        for pattern, values in edges.items():
+            for kind in pii.KINDS:
+                mine = {v: scores[v, kind] for v in values if (v, kind) in scores}
+                like = [v for v, known in values.items() if not known and forms[kind].search(v)]
+                open_ones = sum(v not in mine for v in like)
+                good = sum(mine.values()) / (len(values) - (1 - pii.UNKNOWN) * open_ones
+                                             + pii.SMOOTHING)
+                if (good >= pii.MIN_CONFIDENCE
+                        and sum(s == 1.0 for s in mine.values()) >= pii.MIN_SEEDS):
+                    kept[pattern, kind] = good
+        wrong = {}
+        for (pattern, kind), good in kept.items():
+            for value, known in edges[pattern].items():
+                if not known:
+                    wrong[value, kind] = wrong.get((value, kind), 1.0) * (1 - good)
+        scores = dict(seeds) | {key: min(0.99, 1 - p) for key, p in wrong.items()}
+    added = []
+    for some in seen:
+        best = [(max(((good, kind) for (p, kind), good in kept.items() if p in one["patterns"]),
+                     default=None), one) for one in some if one["kind"] is None]
+        added.append({(b[1], one["start"], one["end"]) for b, one in best if b})
+    return added
+
+
+def test_added_spans_are_those_of_a_plain_bootstrapping(spark):
+    draw = np.random.default_rng(4)
+    contexts = ["call me at {} today", "host {} is up", "card no {} expired", "version {} of it",
+                "mail to {} please", "ticket {}"]
+    texts = []
+    for k in range(400):
+        digits = "".join(map(str, draw.integers(0, 10, 10)))
+        value = [f"+1 {digits[:3]} {digits[3:6]} {digits[6:]}", f"10.0.{k % 250}.{k % 9}",
+                 f"user{k}@mail{k % 3}.org", f"{digits[:3]}-{digits[3:6]}-{digits[6:]}",
+                 f"v{k % 20}.{k % 7}-rc1", f"user{k}@intranet"][
+                     int(draw.choice(6, p=[0.3, 0.15, 0.25, 0.1, 0.1, 0.1]))]
+        kind = int(draw.integers(0, 6)) if draw.random() < 0.02 else (
+            0 if value[0] == "+" or value.count("-") == 2 else 1 if value[:2] == "10"
+            else 4 if "@" in value else 3)
+        texts.append(contexts[kind].format(value))
+    expected = plain_additions(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.digests(docs).collect()}
+    order = {kind: place for place, kind in enumerate(pii.KINDS)}
+    for k, text in enumerate(texts):
+        spans = set(plain_spans(text)) | expected[k]
+        assert found[k] == listed(sorted(spans, key=lambda s: (order[s[0]], s[1], s[2])))
+    assert sum(map(len, expected)) > 20
+
+
 def test_contexts_discover_unseen_identifiers(spark, odd_docs, odd_rows, no_docs):
     rows = [(k, f"client card: {number} paid") for k, number in enumerate(
         ["4111111111111111", "5500000000000004", "340000000000009", "30000000000004",
@@ -492,6 +598,25 @@ def test_classifier_on_held_out_labels(spark, sf_dir, odd_docs, odd_rows, no_doc
     assert quality.accepted(odd_docs, labels.limit(0), threshold=0.4).columns == odd_docs.columns
 
 
+def test_score_is_that_of_the_rules(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit(quality.training_rows(docs, labels))
+    assert model.weights
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    expected = {}
+    for doc_id, text in texts.items():
+        values = {name: v[0] for name, v in quality.batch_statistics([text]).items()}
+        total = model.intercept + sum(
+            weight for rule, weight in model.weights
+            if all(low < values[name] <= high for name, low, high in rule.bounds))
+        expected[doc_id] = 1 / (1 + np.exp(-total))
+    for r in quality.scored(docs, labels).collect():
+        assert r["score"] == pytest.approx(expected[r["doc_id"]], abs=1e-9)
+    kept = {r["doc_id"] for r in quality.accepted(docs, labels).collect()}
+    assert kept == {k for k, score in expected.items() if score >= quality.THRESHOLD}
+
+
 # --- search
 
 @pytest.mark.parametrize("per_pass,numbers", [(3, 10 ** 6), (1000, 10 ** 6), (1000, 50)])
