@@ -77,14 +77,17 @@ def split_words(data: bytes) -> tuple[pa.Array, np.ndarray]:
 
 
 def squeezed(values: np.ndarray) -> bytes:
-    """The numbers as compressed bytes; relations move and rest in this form."""
-    data = np.ascontiguousarray(values).tobytes()
+    """The numbers as compressed bytes; relations move and rest in this form. All lowest bytes come
+    first, then all next ones: small numbers leave the rest empty."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)
+    data = planes.T.tobytes()
     return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
 def expanded(data: bytes, kind: type) -> np.ndarray:
     size = int.from_bytes(data[:8], "little")
-    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), kind)
+    planes = np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
 def _by_language(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, bytes]]:
@@ -116,6 +119,10 @@ def _blocks(block_bytes: int):
                 continue
             number += 1
             counts = np.bincount(line[line >= 0], minlength=len(words))
+            order = np.argsort(-counts, kind="stable")  # frequent words get small numbers
+            ranked = np.zeros(len(words) + 1, np.int32)  # with 0 at -1, between pieces
+            ranked[order] = np.arange(1, len(words) + 1)
+            line, words, counts = ranked[line], words.take(pa.array(order)), counts[order]
             both = [pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), x)
                     for x in (words, pa.array(counts, pa.int64()))]
             yield pa.RecordBatch.from_arrays(
@@ -138,7 +145,7 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks with the numbers of their frequent words in place of their own."""
     for batch in batches:
         for row in range(batch.num_rows):
-            line = expanded(batch.column("line")[row].as_py(), np.int32)
+            line = expanded(batch.column("line")[row].as_py(), np.int32) - 1
             number = np.full(int(line.max(initial=0)) + 1, -1, np.int64)
             number[batch.column("codes")[row].values.to_numpy()] = \
                 batch.column("ids")[row].values.to_numpy()

@@ -104,3 +104,11 @@ def test_words_are_numbered_in_order():
     assert len(collocations.split_words(b"\n . \n")[1]) == 0
     for values in (line, np.arange(-3, 9), np.zeros(0, np.int64)):
         assert (collocations.expanded(collocations.squeezed(values), values.dtype) == values).all()
+
+
+@pytest.mark.parametrize("values", [[], [0], [-1, 2 ** 40, 7, 7, -2 ** 62], list(range(70_000))])
+@pytest.mark.parametrize("kind", [np.int32, np.int64])
+def test_squeezed_numbers_come_back(values, kind):
+    numbers = np.array(values, np.int64).astype(kind)
+    back = collocations.expanded(collocations.squeezed(numbers), kind)
+    assert back.dtype == kind and back.tolist() == numbers.tolist()
