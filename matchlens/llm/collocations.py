@@ -252,6 +252,23 @@ def _extended(relation: DataFrame, phrases: DataFrame) -> DataFrame:
                   .mapInArrow(_regrouped, _RELATION), "phrase-relation")
 
 
+def _frequent_words(blocks: DataFrame, min_count: int) -> DataFrame:
+    """Where the frequent words stand in the blocks' lists: ``block, code, id, lang, f, word``, the
+    word in one row of each id only. One exchange counts and numbers them; a word has one row per
+    block at most."""
+    own = blocks.select("block", "lang",
+                        F.posexplode(F.arrays_zip("words", "counts")).alias("code", "own"))
+    same = Window.partitionBy("lang", "word")
+    numbered = (own.select("block", "lang", "code", F.col("own.words").alias("word"),
+                           F.col("own.counts").alias("n"))
+                .repartition("lang", "word").withColumn("row", F.monotonically_increasing_id())
+                .select("*", F.sum("n").over(same).alias("f"),
+                        F.min("row").over(same).alias("id")))
+    return stored(numbered.where(F.col("f") >= min_count).select(
+        "block", "code", "id", "lang", "f",
+        F.when(F.col("row") == F.col("id"), F.col("word")).alias("word")), "phrase-words")
+
+
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                      min_count: int = MIN_COUNT, max_words: int = MAX_WORDS,
                      block_bytes: int = BLOCK_BYTES) -> tuple[list[DataFrame], DataFrame]:
@@ -263,22 +280,18 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     blocks = stored(texts.mapInArrow(
         _blocks(block_bytes), "block long, lang string, words array<binary>, "
                               "counts array<long>, line binary"), "phrase-blocks")
-    counts = blocks.select("lang", F.inline(F.arrays_zip("words", "counts")))
     totals = stored(blocks.select("lang", F.aggregate(
         "counts", F.lit(0).cast("long"), lambda a, b: a + b).alias("n"))
         .groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     no_counts = F.array().cast("array<long>")
-    level = stored(counts.groupBy("lang", "words").agg(F.sum("counts").alias("f"))
-                   .where(F.col("f") >= min_count)
-                   .select(F.monotonically_increasing_id().alias("id"), "lang", "f",
-                           F.array("words").alias("words"), no_counts.alias("heads"),
-                           no_counts.alias("tails")), "phrase-level")
-    own = blocks.select("block", "lang", F.posexplode("words").alias("code", "word"))
-    found = own.join(level.select("id", "lang", F.element_at("words", 1).alias("word")),
-                     ["lang", "word"]).groupBy("block").agg(
-        F.collect_list(F.struct("code", "id")).alias("found")).select(
+    own = _frequent_words(blocks, min_count)
+    level = stored(own.where("word is not null").select(
+        "id", "lang", "f", F.array("word").alias("words"), no_counts.alias("heads"),
+        no_counts.alias("tails")), "phrase-level")
+    found = own.groupBy("block").agg(F.collect_list(F.struct("code", "id")).alias("found")).select(
         "block", F.col("found.code").alias("codes"), F.col("found.id").alias("ids"))
-    relation = stored(blocks.select("block", "line").join(found, "block").mapInArrow(
+    # Both sides grow with the texts; the size of a compressed file would mislead the planner.
+    relation = stored(blocks.select("block", "line").join(found.hint("merge"), "block").mapInArrow(
         _numbered, _RELATION), "phrase-relation")
     levels = [level]
     for length in range(2, max_words + 1):
