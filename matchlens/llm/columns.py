@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from matchlens.session import new_shared_path
 
 WORD_BREAKS = b"\x20\t\n\x0b\x0c\r"  # the contract's word class is everything but these bytes
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

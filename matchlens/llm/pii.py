@@ -39,7 +39,7 @@ _GROUPS = re.compile(r"\+?[0-9]++(?:[.-][0-9]++)*+")  # a token that may be a pa
 _JOIN = re.compile(r"(?!\.\x20)[\x20().-]{1,4}")
 MAX_DIGITS = 19  # of a number in parts: the most that any kind has
 LOOK = 80  # characters looked at on either side for context words
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 19
 ROUNDS = 3
 MIN_CONFIDENCE = 0.8  # of a pattern that may add spans
 MIN_SEEDS = 3  # distinct entities that must vouch for it

@@ -27,7 +27,7 @@ STATISTICS = (
     "symbol_words", "lone_symbols", "lines_per_word", "repeated_lines", "distinct_words")
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.7
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 19
 STRETCH = 200  # words among which distinct ones are counted, so that length does not matter
 _BLANKS = np.zeros(256, bool)
 _BLANKS[list(b" \t\n\x0b\x0c\r")] = True

@@ -34,10 +34,10 @@ BASE = 1.001
 RATE = 20.0
 MISS = 1e-6  # greatest chance that the bands miss a pair at the threshold
 MARGIN = 0.2  # over six deviations of the estimate
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19  # a word needs some 200 bytes while its text is sketched
 BROADCAST_ROWS = 1_000_000
 CHUNK_SHINGLES = 200_000
-CHUNK_NODES = 1_500  # two chunks make a square of pairs in memory
+CHUNK_NODES = 1_500  # two chunks make a rectangle of pairs in memory
 
 
 def band_rows(threshold: float, registers: int = REGISTERS) -> int:
@@ -228,21 +228,25 @@ def _block_links(docs: DataFrame, some: DataFrame, nodes: DataFrame, id_col: str
     def run(table: pa.Table) -> pa.Table:
         chunk, node, component = (table.column(c).to_numpy() for c in
                                   ("chunk", "node", "component"))
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         lists = table.column("shingles").combine_chunks()
         sizes = np.diff(lists.offsets.to_numpy())
-        apart = component[:, None] != component[None, :]
-        if chunk.min() != chunk.max():
-            apart &= chunk[:, None] != chunk[None, :]
-        apart &= node[:, None] < node[None, :]
-        least = 100 * sizes[:, None] >= percent * sizes[None, :]
-        a, b = np.nonzero(apart & least & least.T)
+        values = lists.values.to_numpy()[lists.offsets[0].as_py():lists.offsets[-1].as_py()]
+        one, two = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+        possible = component[one][:, None] != component[two][None, :]
+        if i == j:
+            possible &= node[one][:, None] < node[two][None, :]
+        possible &= 100 * sizes[one][:, None] >= percent * sizes[two][None, :]
+        possible &= percent * sizes[one][:, None] <= 100 * sizes[two][None, :]
+        a, b = np.nonzero(possible)
         if len(a):
-            common = common_counts(lists.values.to_numpy()[
-                lists.offsets[0].as_py():lists.offsets[-1].as_py()], sizes)[a, b]
+            common = common_counts(values, sizes, one, two)[a, b].astype(np.int64)
+            a, b = one[a], two[b]
             linked = 100 * common >= percent * (sizes[a] + sizes[b] - common)
             joins = merging(a[linked], b[linked], component)
             a, b = a[linked][joins], b[linked][joins]
-        return pa.table({"a": pa.array(node[a], pa.int64()), "b": pa.array(node[b], pa.int64())})
+        return pa.table({"a": pa.array(np.minimum(node[a], node[b]), pa.int64()),
+                         "b": pa.array(np.maximum(node[a], node[b]), pa.int64())})
 
     met = dealt.join(sets, "node").select("bucket", "i", "j", "chunk", "node", "component",
                                           "shingles")
@@ -267,23 +271,32 @@ def merging(a: np.ndarray, b: np.ndarray, component: np.ndarray) -> list[int]:
     return out
 
 
-def common_counts(values: np.ndarray, sizes: np.ndarray, width: int = 4096) -> np.ndarray:
-    """Common elements of every two of several sets, which lie one after the other."""
-    owner = np.repeat(np.arange(len(sizes)), sizes)
+def common_counts(values: np.ndarray, sizes: np.ndarray, one: np.ndarray, two: np.ndarray,
+                  width: int = 1024) -> np.ndarray:
+    """Common elements of every set of ``one`` and every set of ``two``, which are places of sets
+    that lie one after the other in ``values``. The counts are the only large square held."""
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
     number = np.cumsum(np.append(True, values[1:] != values[:-1])) - 1
     shared = np.bincount(number) > 1  # elements of one set only add nothing
     keep = shared[number]
     number, owner = (np.cumsum(shared) - 1)[number[keep]], owner[keep]
-    counts = np.zeros((len(sizes), len(sizes)), np.float64)
+    counts = np.zeros((len(one), len(two)), np.int32)
     cuts = np.searchsorted(number, np.arange(0, int(shared.sum()) + width, width))
+    row = np.full((2, len(sizes)), -1)
+    for side, places in enumerate((one, two)):
+        row[side, places] = np.arange(len(places))
     for a, b in zip(cuts[:-1], cuts[1:]):
         if a < b:
-            block = np.zeros((len(sizes), width), np.float32)
-            block[owner[a:b], number[a:b] % width] = 1
-            counts += block @ block.T
-    return np.rint(counts).astype(np.int64)
+            blocks = []
+            for side, places in enumerate((one, two)):
+                at = row[side, owner[a:b]]
+                block = np.zeros((len(places), width), np.float32)
+                block[at[at >= 0], number[a:b][at >= 0] % width] = 1
+                blocks.append(block)
+            counts += (blocks[0] @ blocks[1].T).astype(np.int32)  # at most ``width`` each
+    return counts
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -2,16 +2,19 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from llm_prose import prose
 from matchlens.llm import (bytebpe, exact, packing, pii, quality, sentencepiece_codec, setsketch,
                            substring, suffix, tokens, topk)
+from matchlens.llm.columns import pieces_by_bytes
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -639,3 +642,44 @@ def test_top_k(spark, per_pass, numbers, monkeypatch):
         scores = sorted((-int(np.dot(v, w)), j) for j, w in whole if j != i and len(w) == len(v))
         expected += [(i, rank + 1, j, -s) for rank, (s, j) in enumerate(scores[:5])]
     assert got == sorted(expected, key=repr)
+
+
+def traced_peak(work) -> int:
+    """The most bytes that ``work`` holds at once."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_two_chunks_hold_one_rectangle_of_counts():
+    draw = np.random.default_rng(6)
+    sets = [np.unique(draw.integers(0, 3000, 60)) for _ in range(800)]
+    values, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
+    one, two = np.arange(0, 800, 2), np.arange(1, 800, 2)
+    counts = []
+    peak = traced_peak(lambda: counts.append(setsketch.common_counts(values, sizes, one, two)))
+    held = np.zeros((800, 3000), np.int64)
+    held[np.repeat(np.arange(800), sizes), values] = 1
+    assert (counts[0] == held[one] @ held[two].T).all()
+    assert peak < 16 << 20
+
+
+def test_tasks_on_texts_hold_little_beside_a_batch():
+    texts = [prose(k, 400) for k in range(40)] * 40
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    assert batch.nbytes > 2 << 20
+
+    def measure():
+        for part in pieces_by_bytes(iter([batch]), quality.BATCH_BYTES):
+            quality.batch_statistics(part.column("text").cast(pa.binary()).to_pylist())
+
+    def sketch():
+        for part in pieces_by_bytes(iter([batch]), setsketch.BATCH_BYTES):
+            setsketch.sketch(setsketch.batch_shingles(
+                part.column("text").cast(pa.binary()).to_pylist(), 5))
+
+    assert traced_peak(measure) < 48 << 20
+    assert traced_peak(sketch) < 48 << 20
