@@ -1,6 +1,9 @@
 """Fits on the smallest tables with small settings."""
 
+from threading import Barrier
+
 import pytest
+from pyspark.ml import Estimator, Model
 from pyspark.sql import functions as F
 
 from matchlens import config
@@ -82,3 +85,43 @@ def test_whole_study(spark, sf_dir):
     assert loaded["class_report"].count() == 6
     assert loaded["column_profile"].count() == 29
     assert loaded["feature_importance"].count() == 21
+
+
+def test_winner_is_not_fitted_again(spark, monkeypatch):
+    fits = []
+
+    def two(features, label, key, settings):
+        every = build(features, label, key, settings)
+        return {n: every[n] for n in (config.DECISION_TREE, config.NAIVE_BAYES)}
+
+    def counted(self, *args):
+        fits.append(type(self).__name__)
+        return fit(self, *args)
+
+    build, fit = models.build_models, Estimator.fit
+    monkeypatch.setattr(models, "build_models", two)
+    monkeypatch.setattr(study, "build_models", two, raising=False)
+    monkeypatch.setattr(Estimator, "fit", counted)
+    frame = staged_modelling_frame(spark, "/root/testdata/sf0.001")
+    outcome = study.compare_models(frame, ["odds_home", "shots_diff"], settings=TINY, folds=2)
+    assert outcome.best_name in (config.DECISION_TREE, config.NAIVE_BAYES)
+    assert outcome.best_predictions.count() == outcome.test.count()
+    assert (fits.count("ExactTree"), fits.count("Pipeline")) == (2 * (1 + 2), 2)
+    outcome.release()
+
+
+def test_folds_of_different_models_run_side_by_side(spark):
+    met = Barrier(2, timeout=60)
+
+    class Always(Estimator):
+        def _fit(self, dataset):
+            met.wait()
+            return Same()
+
+    class Same(Model):
+        def _transform(self, dataset):
+            return dataset.withColumn("prediction", F.lit(1.0))
+
+    folded = spark.createDataFrame([(1, 0), (1, 0), (0, 1), (1, 1)], f"{config.LABEL} int, fold int")
+    found = models.cross_validate_all({"a": Always(), "b": Always()}, folded, folds=2, parallelism=2)
+    assert found == {"a": [1.0, 0.5], "b": [1.0, 0.5]}
