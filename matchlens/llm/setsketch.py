@@ -34,7 +34,7 @@ BASE = 1.001
 RATE = 20.0
 MISS = 1e-6  # greatest chance that the bands miss a pair at the threshold
 MARGIN = 0.2  # over six deviations of the estimate
-BATCH_BYTES = 1 << 19  # a word needs some 200 bytes while its text is sketched
+BATCH_BYTES = 1 << 19  # sketching holds many times the text
 BROADCAST_ROWS = 1_000_000
 CHUNK_SHINGLES = 200_000
 CHUNK_NODES = 1_500  # two chunks make a rectangle of pairs in memory
