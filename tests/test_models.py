@@ -1,5 +1,6 @@
 """Fits on the smallest tables with small settings."""
 
+from inspect import signature
 from threading import Barrier
 
 import pytest
@@ -11,7 +12,7 @@ from matchlens.operators import models, scoring
 from matchlens.operators.boosting import BoostingSettings
 from matchlens.operators.distribution import majority_share
 from matchlens.operators.metrics import overall_scores
-from matchlens.plans import study
+from matchlens.plans import queries, study
 from matchlens.session import new_shared_path
 from matchlens.sources.staging import staged_matches, staged_modelling_frame
 from matchlens.sources.tables import load_tables
@@ -125,3 +126,36 @@ def test_folds_of_different_models_run_side_by_side(spark):
     folded = spark.createDataFrame([(1, 0), (1, 0), (0, 1), (1, 1)], f"{config.LABEL} int, fold int")
     found = models.cross_validate_all({"a": Always(), "b": Always()}, folded, folds=2, parallelism=2)
     assert found == {"a": [1.0, 0.5], "b": [1.0, 0.5]}
+
+
+def test_queries_compare_models_of_the_full_settings(spark, sf_dir, monkeypatch):
+    """The comparison and the winner's report run the settings of the single predictions."""
+    asked, sign = [], signature(study.compare_models)
+
+    class Outcome:
+        results = spark.createDataFrame([(config.ALL_FEATURES, config.DECISION_TREE, 0.5, 0.5, 0.5,
+                                          0.1, 1.0)], models.RESULT_SCHEMA)
+
+        def release(self):
+            pass
+
+    def compared(*args, **options):
+        given = sign.bind(*args, **options)
+        given.apply_defaults()
+        asked.append((given.arguments["settings"], given.arguments["folds"]))
+        return Outcome()
+
+    def built(features, label=config.LABEL, key=config.ROW_KEY, settings=models.ModelSettings()):
+        asked.append((settings, config.CV_FOLDS))
+        return build(features, label, key, settings)
+
+    build = models.build_models
+    monkeypatch.setattr(study, "compare_models", compared)
+    monkeypatch.setattr(study, "select_features", lambda frame: (["odds_home"], None))
+    monkeypatch.setattr(queries, "staged", lambda spark, name, origin, build: build())
+    monkeypatch.setattr(queries.models, "build_models", built)
+    assert queries.model_comparison(spark, sf_dir).count() == 1
+    assert queries.accuracy_pivot(spark, sf_dir).count() == 1
+    assert queries.best_model(spark, sf_dir).count() == 6
+    assert set(asked) == {(models.ModelSettings(), 5)}
+    assert models.ModelSettings().boosting.rounds == 100
