@@ -159,3 +159,23 @@ def test_queries_compare_models_of_the_full_settings(spark, sf_dir, monkeypatch)
     assert queries.best_model(spark, sf_dir).count() == 6
     assert set(asked) == {(models.ModelSettings(), 5)}
     assert models.ModelSettings().boosting.rounds == 100
+
+
+def test_predictions_of_both_sets_run_side_by_side(spark, monkeypatch):
+    met, fits = Barrier(2, timeout=60), []
+
+    class Always(Estimator):
+        def _fit(self, dataset):
+            fits.append(met.n_waiting)
+            return Meets()
+
+    class Meets(Model):
+        def _transform(self, dataset):
+            met.wait()
+            return dataset.withColumn("prediction", F.lit(1.0))
+
+    monkeypatch.setattr(models, "build_models", lambda *args: {config.DECISION_TREE: Always()})
+    table = spark.createDataFrame([(1, 0.5), (0, 1.5)], f"{config.LABEL} int, a double")
+    results = models.compare_feature_sets(table, table, {"one": ["a"], "two": ["a"]}, cv=False)
+    assert [(r["feature_set"], r["accuracy"]) for r in results.collect()] == [("one", 0.5), ("two", 0.5)]
+    assert fits == [0, 0]
